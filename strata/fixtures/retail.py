@@ -175,18 +175,18 @@ def bronze_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # Change applied to the one compared column of each table in batch 2, and
 # the key the batch rules are evaluated on.
 _BATCH_KEY = {
-    "customers": F.col("customer_id"),
-    "orders": F.col("order_id"),
-    "order_items": F.col("order_item_id"),
-    "product_suppliers": F.col("supplier_id"),
-    "customer_reviews": F.col("id").cast("bigint"),
+    "customers": lambda: F.col("customer_id"),
+    "orders": lambda: F.col("order_id"),
+    "order_items": lambda: F.col("order_item_id"),
+    "product_suppliers": lambda: F.col("supplier_id"),
+    "customer_reviews": lambda: F.col("id").cast("bigint"),
 }
 _BATCH_CHANGE = {
-    "customers": ("email", F.concat(F.lit("v2."), F.col("email"))),
-    "orders": ("total_amount", F.col("total_amount") + 1),
-    "order_items": ("quantity", F.col("quantity") + 1),
-    "product_suppliers": ("supply_price", F.col("supply_price") + 1),
-    "customer_reviews": ("rating", F.col("rating") % 5 + 1),
+    "customers": ("email", lambda: F.concat(F.lit("v2."), F.col("email"))),
+    "orders": ("total_amount", lambda: F.col("total_amount") + 1),
+    "order_items": ("quantity", lambda: F.col("quantity") + 1),
+    "product_suppliers": ("supply_price", lambda: F.col("supply_price") + 1),
+    "customer_reviews": ("rating", lambda: F.col("rating") % 5 + 1),
 }
 _TS_COLUMN = {"customers": "updated_at", "orders": "updated_at",
               "order_items": "updated_at", "product_suppliers": "last_updated"}
@@ -208,10 +208,10 @@ def next_batch(bronze: DataFrame, table: str) -> DataFrame:
     if table == "product_suppliers":
         w = Window.partitionBy("supplier_id").orderBy("product_id")
         df = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    k = _BATCH_KEY[table]
+    k = _BATCH_KEY[table]()
     cols = df.columns
     changed_col, changed_expr = _BATCH_CHANGE[table]
-    changed = df.where(k % 7 == 0).withColumn(changed_col, changed_expr)
+    changed = df.where(k % 7 == 0).withColumn(changed_col, changed_expr())
     if table in _TS_COLUMN:
         ts = _TS_COLUMN[table]
         changed = changed.withColumn(

@@ -78,3 +78,15 @@ def any_of(preds: list[Column]) -> Column:
 def flag(pred: Column) -> Column:
     """``CASE WHEN pred THEN TRUE ELSE FALSE END``: unknown becomes FALSE."""
     return F.when(pred, F.lit(True)).otherwise(F.lit(False))
+
+
+def empty_frame(spark, schema) -> "DataFrame":
+    """An empty DataFrame the optimizer can see is empty.
+
+    ``createDataFrame([])`` scans an RDD whose emptiness Catalyst cannot
+    know; a ``WHERE FALSE`` over a one-row range folds to an empty local
+    relation, so joins against it are pruned from the plan.
+    """
+    return (spark.range(1)
+            .select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            .where(F.lit(False)))

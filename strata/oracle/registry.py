@@ -2,9 +2,159 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from strata.conf import AS_OF, CONTROL_ROWS, INGEST_CLOCK_1, INGEST_CLOCK_2
 from strata.oracle import sql
+from strata.oracle.sql import ADAPTERS, COLUMNS, REFRESH, SCD2, flag_case, ts, with_ctes
+
+_UTC = dt.timezone.utc
+
+
+def _millis(v: dt.datetime) -> int:
+    return int(v.replace(tzinfo=_UTC).timestamp() * 1000)
+
+
+def _cols(t: str) -> str:
+    return ", ".join(COLUMNS[t])
+
+
+def _days_since_order() -> str:
+    day = ("DATE '1970-01-01' + CAST(floor(CAST(order_date AS BIGINT) / 86400000) AS INTEGER)")
+    return with_ctes(ADAPTERS, f"""
+SELECT order_id, order_date, {day} AS order_day,
+       CAST(date_diff('day', {day}, DATE '{AS_OF:%Y-%m-%d}') AS BIGINT) AS days_since_order
+FROM b_orders""")
+
+
+def _join_inner_chain() -> str:
+    return with_ctes(sql.silver_ctes(), """
+SELECT o.order_id, o.order_date, o.customer_id, oi.order_item_id, oi.product_id,
+       oi.quantity, oi.price, p.name AS product_name, p.category_id,
+       c.name AS category_name
+FROM s_orders o
+JOIN s_order_items oi ON o.order_id = oi.order_id
+JOIN s_products p ON oi.product_id = p.product_id
+JOIN s_categories c ON p.category_id = c.category_id
+WHERE o.is_active = TRUE""")
+
+
+def _join_left_chain() -> str:
+    return with_ctes(sql.silver_ctes(), """
+SELECT c.customer_id, c.name AS customer_name, o.order_id, o.order_date,
+       oi.order_item_id, oi.quantity, oi.price
+FROM s_customers c
+LEFT JOIN s_orders o ON c.customer_id = o.customer_id
+LEFT JOIN s_order_items oi ON o.order_id = oi.order_id
+WHERE c.is_active = TRUE""")
+
+
+def _bronze(t: str) -> str:
+    if t == "customer_reviews":
+        ctes = dict(ADAPTERS)
+        ctes["n_customer_reviews"] = sql.next_batch(t)
+        return with_ctes(ctes, f"SELECT {_cols(t)} FROM b_{t} "
+                               f"UNION ALL SELECT {_cols(t)} FROM n_{t}")
+    return with_ctes(ADAPTERS, f"SELECT {_cols(t)} FROM b_{t}")
+
+
+def _land_json() -> str:
+    cols = ", ".join("CAST(updated_at AS BIGINT) AS updated_at" if c == "updated_at" else c
+                     for c in COLUMNS["order_items"])
+    return with_ctes(ADAPTERS, f"SELECT {cols} FROM b_order_items")
+
+
+def _archive() -> str:
+    ctes = dict(ADAPTERS)
+    ctes["n_orders"] = sql.next_batch("orders")
+    c = _cols("orders")
+    return with_ctes(ctes, f"""
+SELECT {c}, '2024' AS year, '01' AS month, '02' AS day FROM b_orders
+UNION ALL
+SELECT {c}, '2024' AS year, '01' AS month, '03' AS day FROM n_orders""")
+
+
+_TS_COL = {"customers": "updated_at", "orders": "updated_at", "order_items": "updated_at",
+           "product_suppliers": "last_updated", "suppliers": "created_at"}
+
+
+def _audit_rows() -> str:
+    parts = []
+    for clock_i, clock in enumerate((INGEST_CLOCK_1, INGEST_CLOCK_2)):
+        for _db, _ds, table, load_type, _wm, _active, _tp in CONTROL_ROWS:
+            cond = ""
+            if load_type.lower() != "full load" and clock_i == 1:
+                cond = (f" WHERE CAST({_TS_COL[table]} AS BIGINT) > "
+                        f"{_millis(INGEST_CLOCK_1)}")
+            parts.append(
+                f"SELECT '{table}' AS tablename, '{load_type}' AS load_type, "
+                f"(SELECT count(*) FROM b_{table}{cond}) AS record_count, "
+                f"{ts(clock)} AS load_timestamp, 'SUCCESS' AS status")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _audit_log() -> str:
+    return with_ctes(ADAPTERS, _audit_rows())
+
+
+def _latest_watermark() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{r[2]}' AS tablename, '{INGEST_CLOCK_2:%Y-%m-%d %H:%M:%S}' AS latest_timestamp"
+        for r in CONTROL_ROWS)
+    return f"SELECT * FROM ({rows}) t"
+
+
+def _ingest_full_load() -> str:
+    return with_ctes(ADAPTERS, f"SELECT {_cols('products')} FROM b_products")
+
+
+def _ingest_incremental() -> str:
+    return with_ctes(ADAPTERS, f"SELECT {_cols('orders')} FROM b_orders "
+                               f"WHERE CAST(updated_at AS BIGINT) > {_millis(INGEST_CLOCK_1)}")
+
+
+def _quarantine(t: str) -> str:
+    return with_ctes(ADAPTERS, f"SELECT {_cols(t)}, {flag_case(t)} FROM b_{t}")
+
+
+def _distinct_rows() -> str:
+    ctes = dict(ADAPTERS)
+    ctes["n_orders"] = sql.next_batch("orders")
+    c = _cols("orders")
+    return with_ctes(ctes, f"""
+SELECT DISTINCT {c}, {flag_case('orders')}
+FROM (SELECT {c} FROM b_orders UNION ALL SELECT {c} FROM n_orders) u""")
+
+
+def _refresh(t: str) -> str:
+    return with_ctes(ADAPTERS, sql.silver_first_load(t))
+
+
+def _preview() -> str:
+    return with_ctes(sql.silver_ctes(), "SELECT * FROM s_customer_reviews")
 
 
 def oracles() -> dict[str, str]:
     out = {name: sql.mart(name) for name in sql.MARTS}
+    out.update({
+        "days_since_order": _days_since_order(),
+        "join_inner_chain": _join_inner_chain(),
+        "join_left_chain": _join_left_chain(),
+        "land_json": _land_json(),
+        "land_reviews": with_ctes(ADAPTERS, f"SELECT {_cols('customer_reviews')} "
+                                            "FROM b_customer_reviews"),
+        "ingest_reviews": with_ctes(ADAPTERS, f"SELECT {_cols('customer_reviews')} "
+                                              "FROM b_customer_reviews"),
+        "archive_landing": _archive(),
+        "ingest_full_load": _ingest_full_load(),
+        "ingest_incremental": _ingest_incremental(),
+        "audit_log": _audit_log(),
+        "latest_watermark": _latest_watermark(),
+        "distinct_rows": _distinct_rows(),
+        "preview_customer_reviews": _preview(),
+    })
+    out.update({f"bronze_{t}": _bronze(t) for t in COLUMNS})
+    out.update({f"quarantine_{t}": _quarantine(t) for t in COLUMNS})
+    out.update({f"scd2_{t}": sql.scd2_three_batches(t) for t in SCD2})
+    out.update({f"silver_{t}": _refresh(t) for t in REFRESH})
     return out

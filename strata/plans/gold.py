@@ -33,7 +33,7 @@ from strata.operators.joins import left_join_hot_right
 # reproducible.
 DEFAULT_AS_OF = dt.date(2025, 1, 1)
 
-_TRUE, _FALSE = F.lit(True), F.lit(False)
+
 
 
 def _items(silver: dict[str, DataFrame]) -> DataFrame:
@@ -44,7 +44,7 @@ def _items(silver: dict[str, DataFrame]) -> DataFrame:
 
 def sales_summary(silver: dict[str, DataFrame]) -> DataFrame:
     """G1: per order time (exact millis) x product, over active orders."""
-    o = silver["orders"].where(F.col("is_active") == _TRUE).select(
+    o = silver["orders"].where(F.col("is_active") == F.lit(True)).select(
         "order_id", "order_date", "customer_id")
     oi = _items(silver)
     p = silver["products"].select("product_id", F.col("name").alias("product_name"),
@@ -86,7 +86,7 @@ def customer_engagement(silver: dict[str, DataFrame],
                     F.sum("cents").alias("o_cents"),
                     F.sum("n_values").alias("o_values"),
                     F.max("order_date").alias("o_last")))
-    c = silver["customers"].where(F.col("is_active") == _TRUE).select(
+    c = silver["customers"].where(F.col("is_active") == F.lit(True)).select(
         "customer_id", F.col("name").alias("customer_name"))
     j = c.join(per_day, "customer_id", "left")
     total_cents = F.sum("o_cents")
@@ -127,7 +127,7 @@ def product_performance(silver: dict[str, DataFrame]) -> DataFrame:
     avg = sum(r * items) / sum(n * items), reviews = sum(t * items), where
     a side without rows counts as one (the outer join's NULL row).
     """
-    p = silver["products"].where(F.col("is_quarantined") == _FALSE).select(
+    p = silver["products"].where(F.col("is_quarantined") == F.lit(False)).select(
         "product_id", F.col("name").alias("product_name"), "category_id")
     c = silver["categories"].select(F.col("category_id").alias("c_id"),
                                     F.col("name").alias("category_name"))
@@ -164,7 +164,7 @@ def supplier_analysis(silver: dict[str, DataFrame]) -> DataFrame:
                     .agg(F.count_distinct("product_id").alias("n_products"),
                          F.sum("i_units").alias("units"),
                          F.sum("i_cents").alias("cents")))
-    s = silver["suppliers"].where(F.col("is_quarantined") == _FALSE).select(
+    s = silver["suppliers"].where(F.col("is_quarantined") == F.lit(False)).select(
         "supplier_id", "supplier_name")
     j = s.join(per_supplier, "supplier_id", "left")
     return (j.groupBy("supplier_id", "supplier_name")
@@ -175,7 +175,7 @@ def supplier_analysis(silver: dict[str, DataFrame]) -> DataFrame:
 
 def customer_reviews_summary(silver: dict[str, DataFrame]) -> DataFrame:
     """G5: per product; rating 3 is neither positive nor negative."""
-    p = silver["products"].where(F.col("is_quarantined") == _FALSE).select(
+    p = silver["products"].where(F.col("is_quarantined") == F.lit(False)).select(
         "product_id", F.col("name").alias("product_name"))
     j = p.join(_reviews_per_product(silver), "product_id", "left")
     zero = F.lit(0)
@@ -206,7 +206,7 @@ def days_since_order(orders: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataF
 
 def join_inner_chain(silver: dict[str, DataFrame]) -> DataFrame:
     """orders - order_items - products - categories, all inner (G1's join)."""
-    o = silver["orders"].where(F.col("is_active") == _TRUE).select(
+    o = silver["orders"].where(F.col("is_active") == F.lit(True)).select(
         "order_id", "order_date", "customer_id")
     oi = silver["order_items"].select("order_item_id", "order_id", "product_id",
                                       "quantity", "price")
@@ -220,7 +220,7 @@ def join_inner_chain(silver: dict[str, DataFrame]) -> DataFrame:
 
 def join_left_chain(silver: dict[str, DataFrame]) -> DataFrame:
     """customers - orders - order_items, both left (G2's join)."""
-    c = silver["customers"].where(F.col("is_active") == _TRUE).select(
+    c = silver["customers"].where(F.col("is_active") == F.lit(True)).select(
         "customer_id", F.col("name").alias("customer_name"))
     o = silver["orders"].select(F.col("customer_id").alias("o_customer_id"),
                                 "order_id", "order_date")

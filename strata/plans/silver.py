@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.functions.columns import empty_frame
 from strata.operators.quality import quarantine
 from strata.operators.scd2 import SPECS, merge_source, multi_match_rows, scd2_merge
 from strata.schemas import REFRESH_TABLES, SCD2_TABLES, silver_schema
@@ -30,8 +31,7 @@ def refresh(bronze: DataFrame, table: str) -> DataFrame:
 def first_load(bronze: DataFrame, table: str, now: dt.datetime,
                semantics: str = "reference") -> DataFrame:
     """The SCD2 table after one merge into an empty target."""
-    spark = bronze.sparkSession
-    empty = spark.createDataFrame([], silver_schema(table))
+    empty = empty_frame(bronze.sparkSession, silver_schema(table))
     res = scd2_merge(empty, merge_source(bronze, SPECS[table]), SPECS[table], now, semantics)
     return res.expired.unionByName(res.current)
 

@@ -2,20 +2,37 @@
 
 Every query starts from the driver's star-schema Parquet tables, turns them
 into retail source rows with the fixture adapters, and runs one operator of
-the lakehouse over the whole of them. Keys follow SURVEY §2.
+the lakehouse over the whole of them. Keys follow SURVEY §2. Queries that
+write (landing, archive, silver merges, audit) do so below a fresh folder
+of the shared ``spark.checkpoint.dir`` and return a read of what they wrote.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from strata.fixtures.retail import bronze_tables, load_star, source_tables
-from strata.oracle.sql import AS_OF, T1
+from strata.conf import (
+    AS_OF, DAY1, DAY2, INGEST_CLOCK_1, INGEST_CLOCK_2, T1, T2, T3, control_dicts,
+)
+from strata.fixtures.retail import (
+    bronze_tables, load_star, next_batch, source_tables, to_bronze,
+)
+from strata.operators.quality import distinct_flagged, quarantine
 from strata.plans import gold
-from strata.plans.silver import silver_tables
+from strata.plans.pipeline import Layout, run_ingest
+from strata.plans.silver import SilverStore, silver_tables
+from strata.schemas import BRONZE, JSON_TABLES, REFRESH_TABLES, SCD2_TABLES
+from strata.session import work_dir
+from strata.sinks.audit import PipelineLog, read_audit
+from strata.sinks.landing import archive_landing, land_json, land_reviews, read_archive, \
+    reviews_file
+from strata.sources.bronze import read_bronze
+from strata.sources.ingest import FrameSource, extract, latest_watermark, watermarks
+from strata.sources.reviews import ingest_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,13 +40,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Inputs:
     """Lazily planned inputs of one query run (nothing is computed here)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, now: dt.datetime = T1):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.star = load_star(spark, sf_dir)
         self.source = source_tables(self.star)
         self.bronze = bronze_tables(self.star)
-        self.silver = silver_tables(self.bronze, now)
 
+    @property
+    def silver(self) -> dict[str, DataFrame]:
+        return silver_tables(self.bronze, T1)
+
+
+# --- gold ---------------------------------------------------------------------
 
 def _mart(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,10 +59,184 @@ def _mart(name: str) -> Query:
         if name == "customer_engagement":
             return gold.customer_engagement(silver, AS_OF)
         return gold.MARTS[name](silver)
-    run.__name__ = name
     return run
 
 
+def days_since_order(spark, sf_dir):
+    return gold.days_since_order(Inputs(spark, sf_dir).bronze["orders"], AS_OF)
+
+
+def join_inner_chain(spark, sf_dir):
+    return gold.join_inner_chain(Inputs(spark, sf_dir).silver)
+
+
+def join_left_chain(spark, sf_dir):
+    return gold.join_left_chain(Inputs(spark, sf_dir).silver)
+
+
+# --- landing and bronze ----------------------------------------------------------
+
+def _bronze(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inp = Inputs(spark, sf_dir)
+        root = work_dir(spark, f"bronze_{table}")
+        if table in JSON_TABLES:
+            land_json(inp.source[table], root, table, DAY1)
+        else:
+            # Two daily snapshots: the bronze glob reads both.
+            rec = inp.source[table]
+            land_reviews(rec, root, DAY1)
+            land_reviews(next_batch(to_bronze(rec, table), table), root, DAY2)
+        return read_bronze(spark, root, table)
+    return run
+
+
+def land_json_query(spark, sf_dir):
+    """Landed JSON read back with its own types: timestamps are epoch millis."""
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "land_json")
+    land_json(inp.source["order_items"], root, "order_items", DAY1)
+    schema = StructType([StructField(f.name, LongType()) if f.name == "updated_at" else f
+                         for f in BRONZE["order_items"].fields])
+    return spark.read.schema(schema).json(f"{root}/order_items/*.json")
+
+
+def land_reviews_query(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "land_reviews")
+    land_reviews(inp.source["customer_reviews"], root, DAY1)
+    return spark.read.parquet(reviews_file(root, DAY1))
+
+
+def ingest_reviews_query(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "ingest_reviews")
+    feed = f"{root}/feed/reviews_{DAY1:%Y%m%d}"
+    inp.source["customer_reviews"].write.mode("overwrite").json(feed)
+    ingest_reviews(spark, feed, f"{root}/landing", DAY1)
+    return read_bronze(spark, f"{root}/landing", "customer_reviews")
+
+
+def archive_landing_query(spark, sf_dir):
+    """Land orders on two days, archiving earlier files before each landing."""
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "archive")
+    landing, archive = f"{root}/landing", f"{root}/archive"
+    schema = BRONZE["orders"]
+    archive_landing(spark, landing, archive, "orders", schema)
+    land_json(inp.source["orders"], landing, "orders", DAY1)
+    archive_landing(spark, landing, archive, "orders", schema)
+    land_json(next_batch(inp.bronze["orders"], "orders"), landing, "orders", DAY2)
+    archive_landing(spark, landing, archive, "orders", schema)
+    return read_archive(spark, archive, "orders", schema)
+
+
+# --- ingest -----------------------------------------------------------------------
+
+def ingest_full_load(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    df = extract(FrameSource(inp.source), "products", "Full Load", None, None)
+    return to_bronze(df, "products")
+
+
+def ingest_incremental(spark, sf_dir):
+    """Orders changed after the last audited load of ``orders``."""
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "ingest_incremental")
+    layout = Layout(root)
+    ctl = [r for r in control_dicts() if r["tablename"] == "orders"]
+    run_ingest(spark, layout, FrameSource(inp.source), ctl, DAY1, INGEST_CLOCK_1,
+               PipelineLog(clock=lambda: INGEST_CLOCK_1))
+    wm = latest_watermark(read_audit(spark, layout.audit), "orders")
+    df = extract(FrameSource(inp.source), "orders", "Incremental", "updated_at", wm)
+    return to_bronze(df, "orders")
+
+
+def _two_ingest_days(spark, sf_dir) -> Layout:
+    inp = Inputs(spark, sf_dir)
+    layout = Layout(work_dir(spark, "ingest"))
+    src = FrameSource(inp.source)
+    for day, clock in ((DAY1, INGEST_CLOCK_1), (DAY2, INGEST_CLOCK_2)):
+        run_ingest(spark, layout, src, control_dicts(), day, clock,
+                   PipelineLog(clock=lambda c=clock: c))
+    return layout
+
+
+def audit_log(spark, sf_dir):
+    layout = _two_ingest_days(spark, sf_dir)
+    return read_audit(spark, layout.audit)
+
+
+def latest_watermark_query(spark, sf_dir):
+    layout = _two_ingest_days(spark, sf_dir)
+    tables = spark.createDataFrame([(r["tablename"],) for r in control_dicts()], "tablename string")
+    return watermarks(read_audit(spark, layout.audit), tables)
+
+
+# --- silver -------------------------------------------------------------------------
+
+def _quarantine(table: str) -> Query:
+    def run(spark, sf_dir):
+        return quarantine(Inputs(spark, sf_dir).bronze[table], table)
+    return run
+
+
+def distinct_rows(spark, sf_dir):
+    """DISTINCT merge source over two overlapping order extracts."""
+    b = Inputs(spark, sf_dir).bronze["orders"]
+    return distinct_flagged(b.unionByName(next_batch(b, "orders")), "orders")
+
+
+def _scd2(table: str) -> Query:
+    def run(spark, sf_dir):
+        b1 = Inputs(spark, sf_dir).bronze[table]
+        b2 = next_batch(b1, table)
+        store = SilverStore(spark, work_dir(spark, f"scd2_{table}"))
+        for batch, src, now in (("1", b1, T1), ("2", b2, T2), ("3", b2, T3)):
+            store.merge(table, src, batch, now)
+        return store.read(table)
+    return run
+
+
+def _refresh(table: str) -> Query:
+    def run(spark, sf_dir):
+        b1 = Inputs(spark, sf_dir).bronze[table]
+        store = SilverStore(spark, work_dir(spark, f"silver_{table}"))
+        store.refresh(table, b1, "1")
+        store.refresh(table, b1, "2")      # a second run replaces, never adds
+        return store.read(table)
+    return run
+
+
+def preview_customer_reviews(spark, sf_dir):
+    b1 = Inputs(spark, sf_dir).bronze["customer_reviews"]
+    store = SilverStore(spark, work_dir(spark, "preview_reviews"))
+    store.merge("customer_reviews", b1, "1", T1)
+    return store.read("customer_reviews")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {name: _mart(name) for name in gold.MARTS}
+    q.update({
+        "days_since_order": days_since_order,
+        "join_inner_chain": join_inner_chain,
+        "join_left_chain": join_left_chain,
+        "land_json": land_json_query,
+        "land_reviews": land_reviews_query,
+        "ingest_reviews": ingest_reviews_query,
+        "archive_landing": archive_landing_query,
+        "ingest_full_load": ingest_full_load,
+        "ingest_incremental": ingest_incremental,
+        "audit_log": audit_log,
+        "latest_watermark": latest_watermark_query,
+        "distinct_rows": distinct_rows,
+        "preview_customer_reviews": preview_customer_reviews,
+    })
+    q.update({f"bronze_{t}": _bronze(t) for t in BRONZE})
+    q.update({f"quarantine_{t}": _quarantine(t) for t in BRONZE})
+    q.update({f"scd2_{t}": _scd2(t) for t in SCD2_TABLES})
+    q.update({f"silver_{t}": _refresh(t) for t in REFRESH_TABLES})
     return q
+
+
+__all__ = ["registry", "Inputs", "F"]

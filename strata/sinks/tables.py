@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from strata.functions.columns import empty_frame
+
 _MANIFEST = StructType([StructField("seq", LongType()), StructField("batch", StringType())])
 
 
@@ -47,7 +49,7 @@ class BatchTable:
         return self.spark.read.schema(full).parquet(self.root)
 
     def empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+        return empty_frame(self.spark, self.schema)
 
     def read(self, kinds: dict[str, str] | None = None) -> DataFrame:
         """Rows of the given parts; ``kinds`` maps part -> "latest" | "all"."""
