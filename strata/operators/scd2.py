@@ -131,8 +131,14 @@ def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
 
     # Reference: insert only keys with no active row. Corrected: also the new
     # version of every changed row (no active row that is equal to it).
-    insert_on = (keys & ~_change(spec, null_safe=True)) if fixed else _key_match(spec.keys, False)
-    fresh = s.join(t, insert_on, "left_anti")
+    if fixed:
+        fresh = s.join(t, keys & ~_change(spec, null_safe=True), "left_anti")
+    else:
+        # Only the keys of the active rows matter here. Reducing them to
+        # distinct keys first (map-side partial aggregate) keeps a key that
+        # holds a third of the target from landing in one join task.
+        active_keys = active.select(*spec.keys).distinct().alias("t")
+        fresh = s.join(active_keys, _key_match(spec.keys, False), "left_anti")
     flag_col = F.col("is_quarantined") if spec.insert_flag else F.lit(None).cast("boolean")
     inserted = fresh.select(
         *[F.col(c) for c in cols if c not in ("is_quarantined", "effective_start_date",

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.columns import empty_frame
@@ -64,17 +65,44 @@ class SilverStore:
 
     def merge(self, name: str, bronze: DataFrame, batch: str, now: dt.datetime,
               semantics: str = "reference", on_multi_match: str = "error") -> None:
+        """Merge one batch of bronze rows and commit it as batch ``batch``.
+
+        The flagged source (a distinct over the batch's bronze rows) is
+        persisted for the duration of the merge: the multi-match test and the
+        semi and anti joins all read it, and the bronze files are parsed once.
+        A lost executor only costs recomputing its cached blocks.
+        """
         spec = SPECS[name]
         tbl = self.table(name)
         prev = tbl.previous_for(batch)
         active = tbl.read_parts({"active": prev[-1:]})
-        source = merge_source(bronze, spec)
-        if on_multi_match == "error" and semantics == "reference" and prev:
-            if not multi_match_rows(active, source, spec).isEmpty():
-                raise MultiMatchError(
-                    f"{name}: a target row would be updated by several source rows")
-        res = scd2_merge(active, source, spec, now, semantics)
-        tbl.write_batch(batch, {"history": res.expired, "active": res.current})
+        source = merge_source(bronze, spec).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if on_multi_match == "error" and semantics == "reference" and prev:
+                self._check_multi_match(name, active, source, spec)
+            res = scd2_merge(active, source, spec, now, semantics)
+            tbl.write_batch(batch, {"history": res.expired, "active": res.current},
+                            committed=prev)
+        finally:
+            source.unpersist()
+
+    @staticmethod
+    def _check_multi_match(name: str, active: DataFrame, source: DataFrame, spec) -> None:
+        """Raise if a target row would be updated by several source rows.
+
+        Only a key that occurs more than once in the source can do that, so
+        the exact row-level test runs on those keys alone (usually none: a
+        source-only aggregate answers the question).
+        """
+        dup_keys = (source.groupBy(*spec.keys).count().where("count > 1")
+                    .drop("count"))
+        if dup_keys.isEmpty():
+            return
+        src = source.join(dup_keys, list(spec.keys), "left_semi")
+        tgt = active.join(dup_keys, list(spec.keys), "left_semi")
+        if not multi_match_rows(tgt, src, spec).isEmpty():
+            raise MultiMatchError(
+                f"{name}: a target row would be updated by several source rows")
 
     def refresh(self, name: str, bronze: DataFrame, batch: str) -> None:
         self.table(name).write_batch(batch, {"data": refresh(bronze, name)})

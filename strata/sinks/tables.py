@@ -76,9 +76,11 @@ class BatchTable:
                              "re-running it would rewrite history")
         return [b for b in done if b != batch]
 
-    def write_batch(self, batch: str, parts: dict[str, DataFrame]) -> None:
+    def write_batch(self, batch: str, parts: dict[str, DataFrame],
+                    committed: list[str] | None = None) -> None:
         """Write every part of one batch in a single job, then commit."""
-        done = self.committed()
+        done = [b for b in (self.committed() if committed is None else committed)
+                if b != batch]
         frames = [df.select(*self.schema.fieldNames()).withColumn("kind", F.lit(k))
                   for k, df in parts.items()]
         out = frames[0]
