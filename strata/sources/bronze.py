@@ -33,16 +33,26 @@ def read_bronze(spark: SparkSession, landing_root: str, table: str) -> DataFrame
     return reader.parquet(bronze_glob(landing_root, table))
 
 
-def register_bronze(spark: SparkSession, landing_root: str, database: str = "bronze") -> None:
+def register_bronze(spark: SparkSession, landing_root: str,
+                    database: str = "bronze") -> list[str]:
     """``CREATE TABLE ... USING json|parquet OPTIONS (path <absolute glob>)``.
 
     Gives SQL users the same external tables; paths are absolute because a
-    relative path silently reads nothing.
+    relative path silently reads nothing. Tables with nothing landed yet are
+    skipped (their glob matches no file); the registered names are returned.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    done = []
     for table, schema in BRONZE.items():
         fmt = "json" if table in JSON_TABLES else "parquet"
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"CREATE TABLE {database}.{table} ({cols}) USING {fmt} "
-                  f"OPTIONS (path '{bronze_glob(landing_root, table)}')")
+        try:
+            spark.sql(f"CREATE TABLE {database}.{table} ({cols}) USING {fmt} "
+                      f"OPTIONS (path '{bronze_glob(landing_root, table)}')")
+        except Exception as e:
+            if "PATH_NOT_FOUND" in str(e):
+                continue
+            raise
+        done.append(table)
+    return done

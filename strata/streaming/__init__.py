@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The original pipeline has no stream operator (no event-time windows, state,
+or late data). Its "watermark" is a batch high-water mark kept in the audit
+log and applied as a filter at extract time (``strata.sources.ingest``).
+Nothing here is built beyond what the original does.
+"""
