@@ -18,6 +18,29 @@ RUNTIME_CONF = {
 }
 
 
+# Settings for a large cluster (1000 executors, ~100 TB inputs): start with
+# many shuffle partitions and let AQE coalesce them to ~256 MB each, split
+# scans into 256 MB splits, and treat a partition as skewed when it is 5x
+# the median and over 1 GB. Runtime broadcast is capped at 64 MB: a side is
+# broadcast only after its shuffle has shown it is that small.
+CLUSTER_CONF = {
+    **RUNTIME_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Apply runtime SQL settings to an existing session (e.g. CLUSTER_CONF)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "strata", extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
