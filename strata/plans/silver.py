@@ -64,19 +64,26 @@ class SilverStore:
         return t.read({"data": "latest"})
 
     def merge(self, name: str, bronze: DataFrame, batch: str, now: dt.datetime,
-              semantics: str = "reference", on_multi_match: str = "error") -> None:
+              semantics: str = "reference", on_multi_match: str = "error",
+              cache_source: bool = True) -> None:
         """Merge one batch of bronze rows and commit it as batch ``batch``.
 
-        The flagged source (a distinct over the batch's bronze rows) is
-        persisted for the duration of the merge: the multi-match test and the
-        semi and anti joins all read it, and the bronze files are parsed once.
+        When there is a target, the flagged source (a distinct over the
+        batch's bronze rows) is persisted for the duration of the merge: the
+        multi-match test and the semi and anti joins all read it, and the
+        bronze files are parsed once.
         A lost executor only costs recomputing its cached blocks.
         """
         spec = SPECS[name]
         tbl = self.table(name)
         prev = tbl.previous_for(batch)
         active = tbl.read_parts({"active": prev[-1:]})
-        source = merge_source(bronze, spec).persist(StorageLevel.MEMORY_AND_DISK)
+        source = merge_source(bronze, spec)
+        # A first load reads the source once (the empty target folds away);
+        # later merges read it in the check and three joins.
+        cache_source = cache_source and bool(prev)
+        if cache_source:
+            source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if on_multi_match == "error" and semantics == "reference" and prev:
                 self._check_multi_match(name, active, source, spec)
@@ -84,7 +91,8 @@ class SilverStore:
             tbl.write_batch(batch, {"history": res.expired, "active": res.current},
                             committed=prev)
         finally:
-            source.unpersist()
+            if cache_source:
+                source.unpersist()
 
     @staticmethod
     def _check_multi_match(name: str, active: DataFrame, source: DataFrame, spec) -> None:
