@@ -77,6 +77,14 @@ def corrected(spec: MergeSpec) -> MergeSpec:
 class MergeResult:
     expired: DataFrame      # target rows closed by this run
     current: DataFrame      # kept + inserted: the next active set
+    tagged: DataFrame | None = None   # both, with a "kind" column (one-pass plan)
+
+    def parts(self) -> DataFrame:
+        """All output rows with ``kind`` = "history" (expired) or "active"."""
+        if self.tagged is not None:
+            return self.tagged
+        return (self.expired.withColumn("kind", F.lit("history"))
+                .unionByName(self.current.withColumn("kind", F.lit("active"))))
 
 
 def merge_source(bronze: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -106,11 +114,17 @@ def _change(spec: MergeSpec, null_safe: bool) -> Column:
 
 
 def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
-               now: dt.datetime, semantics: str = "reference") -> MergeResult:
+               now: dt.datetime, semantics: str = "reference",
+               unique_source_keys: bool = False) -> MergeResult:
     """Merge ``source`` (already flagged, see ``merge_source``) into ``active``.
 
     ``active`` holds only the target's active rows, with the silver schema.
+    ``unique_source_keys=True`` promises at most one source row per non-NULL
+    key; the expire/keep split then takes one left join instead of a semi
+    and an anti join (see ``_one_pass``).
     """
+    if unique_source_keys and semantics == "reference":
+        return _one_pass(active, source, spec, now)
     if semantics not in ("reference", "corrected"):
         raise ValueError(f"unknown semantics {semantics!r}")
     fixed = semantics == "corrected"
@@ -150,6 +164,53 @@ def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
     return MergeResult(expired=expired, current=kept.unionByName(inserted))
 
 
+def _inserted(active: DataFrame, source: DataFrame, spec: MergeSpec,
+              now: dt.datetime) -> DataFrame:
+    """Source rows whose key has no active row (reference semantics)."""
+    cols = active.columns
+    active_keys = active.select(*spec.keys).distinct().alias("t")
+    fresh = source.alias("s").join(active_keys, _key_match(spec.keys, False), "left_anti")
+    now_lit = F.lit(now).cast(TimestampNTZType())
+    flag_col = F.col("is_quarantined") if spec.insert_flag else F.lit(None).cast("boolean")
+    return fresh.select(
+        *[F.col(c) for c in cols if c not in ("is_quarantined", "effective_start_date",
+                                               "effective_end_date", "is_active")],
+        flag_col.alias("is_quarantined"),
+        now_lit.alias("effective_start_date"),
+        F.lit(None).cast(TimestampNTZType()).alias("effective_end_date"),
+        F.lit(True).alias("is_active")).select(cols)
+
+
+def _one_pass(active: DataFrame, source: DataFrame, spec: MergeSpec,
+              now: dt.datetime) -> MergeResult:
+    """Expire/keep in one left join when each key has at most one source row.
+
+    Every active row meets at most one source row, so ``active LEFT JOIN
+    source ON keys`` keeps the active rows one-to-one and the change
+    predicate decides per row. The active side is the preserved side, so
+    adaptive execution can split a hot key of the target; the source side
+    has one row per key.
+    """
+    cols = active.columns
+    probe = source.select(*spec.keys, *spec.changed, *spec.unchanged) \
+        .withColumn("_matched", F.lit(True)).alias("s")
+    j = active.alias("t").join(probe, _key_match(spec.keys, False), "left")
+    hit = F.coalesce(F.col("s._matched") & _change(spec, False), F.lit(False))
+    end = (F.lit(now).cast(TimestampNTZType()) if spec.end_on_expire == "now"
+           else F.lit(None).cast(TimestampNTZType()))
+    out = {c: _t(c) for c in cols}
+    out["is_active"] = F.when(hit, F.lit(False)).otherwise(_t("is_active"))
+    out["effective_end_date"] = F.when(hit, end).otherwise(_t("effective_end_date"))
+    classified = j.select(*[out[c].alias(c) for c in cols],
+                          F.when(hit, F.lit("history")).otherwise(F.lit("active")).alias("kind"))
+    inserted = _inserted(active, source, spec, now)
+    tagged = classified.unionByName(inserted.withColumn("kind", F.lit("active")))
+    return MergeResult(
+        expired=classified.where(F.col("kind") == "history").drop("kind"),
+        current=classified.where(F.col("kind") == "active").drop("kind").unionByName(inserted),
+        tagged=tagged)
+
+
 def multi_match_rows(active: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     """Target rows that more than one source row would update.
 

@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.columns import empty_frame
 from strata.operators.quality import quarantine
@@ -85,15 +86,28 @@ class SilverStore:
         if cache_source:
             source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if on_multi_match == "error" and semantics == "reference" and prev:
+            unique = bool(prev) and semantics == "reference" and \
+                self._unique_keys(source, spec)
+            if on_multi_match == "error" and semantics == "reference" and prev and not unique:
                 self._check_multi_match(name, active, source, spec)
-            res = scd2_merge(active, source, spec, now, semantics)
-            tbl.write_batch(batch, {"history": res.expired, "active": res.current},
-                            committed=prev)
+            res = scd2_merge(active, source, spec, now, semantics, unique_source_keys=unique)
+            tbl.write_batch(batch, res.parts(), committed=prev)
         finally:
             if cache_source:
                 source.unpersist()
 
+    @staticmethod
+    def _unique_keys(source: DataFrame, spec) -> bool:
+        """At most one source row per non-NULL key (NULL keys never match).
+
+        A source-only aggregate: when it holds, no target row can be hit
+        twice and the merge takes its one-join plan.
+        """
+        keyed = source
+        for k in spec.keys:
+            keyed = keyed.where(F.col(k).isNotNull())
+        return keyed.groupBy(*spec.keys).count().where("count > 1").isEmpty()
+
     @staticmethod
     def _check_multi_match(name: str, active: DataFrame, source: DataFrame, spec) -> None:
         """Raise if a target row would be updated by several source rows.
@@ -104,8 +118,6 @@ class SilverStore:
         """
         dup_keys = (source.groupBy(*spec.keys).count().where("count > 1")
                     .drop("count"))
-        if dup_keys.isEmpty():
-            return
         src = source.join(dup_keys, list(spec.keys), "left_semi")
         tgt = active.join(dup_keys, list(spec.keys), "left_semi")
         if not multi_match_rows(tgt, src, spec).isEmpty():

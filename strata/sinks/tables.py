@@ -76,16 +76,23 @@ class BatchTable:
                              "re-running it would rewrite history")
         return [b for b in done if b != batch]
 
-    def write_batch(self, batch: str, parts: dict[str, DataFrame],
+    def write_batch(self, batch: str, parts: dict[str, DataFrame] | DataFrame,
                     committed: list[str] | None = None) -> None:
-        """Write every part of one batch in a single job, then commit."""
+        """Write every part of one batch in a single job, then commit.
+
+        ``parts`` maps part name -> rows, or is one frame whose ``kind``
+        column names the part of each row.
+        """
         done = [b for b in (self.committed() if committed is None else committed)
                 if b != batch]
-        frames = [df.select(*self.schema.fieldNames()).withColumn("kind", F.lit(k))
-                  for k, df in parts.items()]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
+        if isinstance(parts, DataFrame):
+            out = parts.select(*self.schema.fieldNames(), "kind")
+        else:
+            frames = [df.select(*self.schema.fieldNames()).withColumn("kind", F.lit(k))
+                      for k, df in parts.items()]
+            out = frames[0]
+            for f in frames[1:]:
+                out = out.unionByName(f)
         (out.write.mode("overwrite").partitionBy("kind")
          .parquet(f"{self.root}/batch={batch}"))
         self._commit(batch, len(done) + 1)
