@@ -97,6 +97,35 @@ def _audit_log() -> str:
     return with_ctes(ADAPTERS, _audit_rows())
 
 
+def _pipeline_log() -> str:
+    """Log rows of the two ingest days: archive, watermark (incremental
+    tables) and landing events, with counts taken from the adapters."""
+    parts = []
+    for day in (1, 2):
+        clock = (INGEST_CLOCK_1 if day == 1 else INGEST_CLOCK_2).isoformat()
+        for _db, _ds, table, load_type, _wm, _active, _tp in CONTROL_ROWS:
+            full = f"(SELECT count(*) FROM b_{table})"
+            incremental = load_type.lower() != "full load"
+            landed = full
+            if incremental and day == 2:
+                landed = (f"(SELECT count(*) FROM b_{table} WHERE CAST({_TS_COL[table]} "
+                          f"AS BIGINT) > {_millis(INGEST_CLOCK_1)})")
+            archived = "0" if day == 1 else f"CAST({full} AS VARCHAR)"
+            row = "SELECT '{c}' AS timestamp, '{e}' AS event_type, {m} AS message, " \
+                  "'{t}' AS \"table\""
+            parts.append(row.format(
+                c=clock, e="INFO", t=table,
+                m=f"'archived ' || {archived} || ' rows of earlier landing files'"))
+            if incremental:
+                wm = "1900-01-01 00:00:00" if day == 1 else \
+                    f"{INGEST_CLOCK_1:%Y-%m-%d %H:%M:%S}"
+                parts.append(row.format(c=clock, e="INFO", t=table,
+                                        m=f"'latest watermark for {table}: {wm}'"))
+            parts.append(row.format(c=clock, e="SUCCESS", t=table,
+                                    m=f"'landed ' || CAST({landed} AS VARCHAR) || ' rows'"))
+    return with_ctes(ADAPTERS, "\nUNION ALL\n".join(parts))
+
+
 def _latest_watermark() -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{r[2]}' AS tablename, '{INGEST_CLOCK_2:%Y-%m-%d %H:%M:%S}' AS latest_timestamp"
@@ -150,6 +179,8 @@ def oracles() -> dict[str, str]:
         "ingest_incremental": _ingest_incremental(),
         "audit_log": _audit_log(),
         "latest_watermark": _latest_watermark(),
+        "pipeline_log": _pipeline_log(),
+        "pipeline_log_json": _pipeline_log(),
         "distinct_rows": _distinct_rows(),
         "preview_customer_reviews": _preview(),
     })

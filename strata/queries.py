@@ -25,7 +25,7 @@ from strata.operators.quality import distinct_flagged, quarantine
 from strata.plans import gold
 from strata.plans.pipeline import Layout, run_ingest
 from strata.plans.silver import SilverStore, silver_tables
-from strata.schemas import BRONZE, JSON_TABLES, REFRESH_TABLES, SCD2_TABLES
+from strata.schemas import BRONZE, JSON_TABLES, PIPELINE_LOG, REFRESH_TABLES, SCD2_TABLES
 from strata.session import work_dir
 from strata.sinks.audit import PipelineLog, read_audit
 from strata.sinks.landing import archive_landing, land_json, land_reviews, read_archive, \
@@ -153,15 +153,30 @@ def ingest_incremental(spark, sf_dir):
 
 
 def _two_ingest_days(spark, sf_dir) -> Layout:
+    """Two daily ingests of all seven control rows (archive, extract, land,
+    audit), each flushing its pipeline log to the log table and a file."""
     inp = Inputs(spark, sf_dir)
     layout = Layout(work_dir(spark, "ingest"))
     src = FrameSource(inp.source)
     for day, clock in ((DAY1, INGEST_CLOCK_1), (DAY2, INGEST_CLOCK_2)):
-        run_ingest(spark, layout, src, control_dicts(), day, clock,
-                   PipelineLog(clock=lambda c=clock: c))
+        log = PipelineLog(clock=lambda c=clock: c)
+        try:
+            run_ingest(spark, layout, src, control_dicts(), day, clock, log)
+        finally:
+            log.flush(spark, layout.pipeline_logs, layout.log_files)
     return layout
 
 
+def pipeline_log(spark, sf_dir):
+    layout = _two_ingest_days(spark, sf_dir)
+    return spark.read.schema(PIPELINE_LOG).parquet(layout.pipeline_logs)
+
+
+def pipeline_log_json(spark, sf_dir):
+    layout = _two_ingest_days(spark, sf_dir)
+    return spark.read.schema(PIPELINE_LOG).json(f"{layout.log_files}/*.json")
+
+
 def audit_log(spark, sf_dir):
     layout = _two_ingest_days(spark, sf_dir)
     return read_audit(spark, layout.audit)
@@ -229,6 +244,8 @@ def registry() -> dict[str, Query]:
         "ingest_incremental": ingest_incremental,
         "audit_log": audit_log,
         "latest_watermark": latest_watermark_query,
+        "pipeline_log": pipeline_log,
+        "pipeline_log_json": pipeline_log_json,
         "distinct_rows": distinct_rows,
         "preview_customer_reviews": preview_customer_reviews,
     })
