@@ -69,9 +69,11 @@ def _archive() -> str:
     ctes["n_orders"] = sql.next_batch("orders")
     c = _cols("orders")
     return with_ctes(ctes, f"""
-SELECT {c}, '2024' AS year, '01' AS month, '02' AS day FROM b_orders
+SELECT {c}, '2024' AS year, '01' AS month, '02' AS day, 'orders_02012024.json' AS file
+FROM b_orders
 UNION ALL
-SELECT {c}, '2024' AS year, '01' AS month, '03' AS day FROM n_orders""")
+SELECT {c}, '2024' AS year, '01' AS month, '03' AS day, 'orders_03012024.json' AS file
+FROM n_orders""")
 
 
 _TS_COL = {"customers": "updated_at", "orders": "updated_at", "order_items": "updated_at",

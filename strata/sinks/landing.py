@@ -4,7 +4,7 @@ Layout (all below one landing root on shared storage)::
 
     <root>/<table>/<table>_<ddMMyyyy>.json/part-*.json     JSON lines (B1)
     <root>/customer_reviews/customer_reviews_<yyyyMMdd>.parquet/  (B2)
-    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/      archived rows (B3)
+    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/file=<landing file>/  (B3)
 
 Every write is a distributed DataFrame write; nothing passes through the
 driver. Timestamps land as epoch-millisecond numbers, which the bronze
@@ -60,8 +60,9 @@ def land_reviews(df: DataFrame, root: str, day: dt.date) -> int:
 
 
 _FILE_DATE = r"_(\d{2})(\d{2})(\d{4})\.json"
+_FILE_NAME = r"/([^/]*_\d{8}\.json)(/|$)"
 _LANDING_DIR = re.compile(r"^(.*_\d{8}\.json)(/.*)?$")
-_PARTS = StructType([StructField(c, StringType()) for c in ("year", "month", "day")])
+_PARTS = StructType([StructField(c, StringType()) for c in ("year", "month", "day", "file")])
 
 
 def archive_landing(spark: SparkSession, root: str, archive_root: str, table: str,
@@ -69,10 +70,10 @@ def archive_landing(spark: SparkSession, root: str, archive_root: str, table: st
     """Move every landed file of ``table`` into the dated archive.
 
     The date comes from the file name (``<table>_<ddMMyyyy>.json``). Rows
-    are appended to ``<archive>/<table>`` partitioned by year/month/day,
-    then each archived landing file is overwritten with no rows, so later
-    bronze scans of the landing glob no longer see them. Returns the number
-    of archived rows.
+    are written to ``<archive>/<table>`` partitioned by year/month/day and
+    file name, then each archived landing file is overwritten with no rows,
+    so later bronze scans of the landing glob no longer see them. Returns
+    the number of archived rows.
     """
     src = f"{root.rstrip('/')}/{table}"
     try:
@@ -92,10 +93,15 @@ def archive_landing(spark: SparkSession, root: str, archive_root: str, table: st
         "*",
         F.regexp_extract(path, _FILE_DATE, 3).alias("year"),
         F.regexp_extract(path, _FILE_DATE, 2).alias("month"),
-        F.regexp_extract(path, _FILE_DATE, 1).alias("day"))
+        F.regexp_extract(path, _FILE_DATE, 1).alias("day"),
+        F.regexp_extract(path, _FILE_NAME, 1).alias("file"))
+    # One archive partition per landing file, replaced (not appended) when
+    # the same file is archived again: a retried or re-run archive step
+    # leaves each archived row exactly once.
     obs = Observation(f"archive_{table}")
     (dated.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy("year", "month", "day")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day", "file")
      .json(f"{archive_root.rstrip('/')}/{table}"))
     n = int(obs.get["rows"])
     for f in files:

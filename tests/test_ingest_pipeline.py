@@ -89,6 +89,13 @@ def test_archive_moves_every_row_once(spark, tmp_root):
         .groupBy("year", "month", "day").count().orderBy("day").collect()
     assert [(r.year, r.month, r.day, r["count"]) for r in got] == \
         [("2024", "02", "24", 3), ("2024", "02", "25", 2)]
+    # Archiving the same landing file again replaces its archive partition.
+    land_json(orders_source(spark), landing, "orders", D2)
+    assert archive_landing(spark, landing, archive, "orders", BRONZE["orders"]) == 3
+    got = read_archive(spark, archive, "orders", BRONZE["orders"]) \
+        .groupBy("file").count().orderBy("file").collect()
+    assert [(r.file, r["count"]) for r in got] == \
+        [("orders_24022024.json", 3), ("orders_25022024.json", 3)]
 
 
 def test_register_bronze_sql_tables(spark, tmp_root):
