@@ -43,10 +43,9 @@ class BatchTable:
          .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
 
     # -- data ---------------------------------------------------------------
-    def _scan(self) -> DataFrame:
-        full = StructType(list(self.schema.fields) + [
+    def _full_schema(self) -> StructType:
+        return StructType(list(self.schema.fields) + [
             StructField("batch", StringType()), StructField("kind", StringType())])
-        return self.spark.read.schema(full).parquet(self.root)
 
     def empty(self) -> DataFrame:
         return empty_frame(self.spark, self.schema)
@@ -59,14 +58,32 @@ class BatchTable:
                                 for k, w in kinds.items()})
 
     def read_parts(self, parts: dict[str, list[str]]) -> DataFrame:
-        """Rows of part ``kind`` from exactly the listed batches."""
-        preds = [(F.col("kind") == k) & F.col("batch").isin(b) for k, b in parts.items() if b]
-        if not preds:
+        """Rows of part ``kind`` from exactly the listed batches.
+
+        Only the folders of those batches and parts are listed (a brace glob
+        under ``basePath``), so reading the latest active part never lists
+        the history of earlier batches. A part with no folder (no rows) is
+        skipped; the partition filter keeps the read exact.
+        """
+        frames = []
+        for kind, batches in parts.items():
+            if not batches:
+                continue
+            pattern = f"{self.root}/batch={{{','.join(batches)}}}/kind={kind}"
+            try:
+                df = (self.spark.read.schema(self._full_schema())
+                      .option("basePath", self.root).parquet(pattern))
+            except Exception as e:  # no batch has rows in this part
+                if "PATH_NOT_FOUND" in str(e):
+                    continue
+                raise
+            frames.append(df.where((F.col("kind") == kind) & F.col("batch").isin(batches)))
+        if not frames:
             return self.empty()
-        pred = preds[0]
-        for p in preds[1:]:
-            pred = pred | p
-        return self._scan().where(pred).select(*self.schema.fieldNames())
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out.select(*self.schema.fieldNames())
 
     def previous_for(self, batch: str) -> list[str]:
         """Batches a new run of ``batch`` must build on (never itself)."""
