@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from strata.functions.columns import epoch_millis
+from strata.functions.columns import epoch_millis, ntz_lit
 from strata.schemas import BRONZE
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -36,7 +36,7 @@ def load_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _ts_lit(v: dt.datetime):
-    return F.lit(v).cast(TimestampNTZType())
+    return ntz_lit(v)
 
 
 def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:

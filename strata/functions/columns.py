@@ -18,6 +18,15 @@ _EPOCH_NTZ = dt.datetime(1970, 1, 1)
 MILLIS_PER_DAY = 86_400_000
 
 
+def ntz_lit(v: dt.datetime) -> Column:
+    """A ``TIMESTAMP_NTZ`` literal of a wall-clock time.
+
+    Built from text: a Python datetime literal is an instant in the local
+    zone and its cast to NTZ would depend on the session time zone.
+    """
+    return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(TimestampNTZType())
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -31,7 +40,7 @@ def epoch_millis(c: str | Column, dtype: DataType | None = None) -> Column:
     c = col_(c)
     if isinstance(dtype, TimestampType):
         return F.unix_millis(c)
-    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH_NTZ).cast(TimestampNTZType()),
+    return F.timestamp_diff("MILLISECOND", ntz_lit(_EPOCH_NTZ),
                             c.cast(TimestampNTZType()))
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from strata.functions.columns import ntz_lit
 from strata.operators.quality import quarantine
 
 
@@ -135,7 +136,7 @@ def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
     keys = _key_match(spec.keys, null_safe=fixed)
     hit = keys & _change(spec, null_safe=fixed)
 
-    now_lit = F.lit(now).cast(TimestampNTZType())
+    now_lit = ntz_lit(now)
     end = now_lit if spec.end_on_expire == "now" else F.lit(None).cast(TimestampNTZType())
     expired = (t.join(s, hit, "left_semi")
                .withColumn("is_active", F.lit(False))
@@ -170,7 +171,7 @@ def _inserted(active: DataFrame, source: DataFrame, spec: MergeSpec,
     cols = active.columns
     active_keys = active.select(*spec.keys).distinct().alias("t")
     fresh = source.alias("s").join(active_keys, _key_match(spec.keys, False), "left_anti")
-    now_lit = F.lit(now).cast(TimestampNTZType())
+    now_lit = ntz_lit(now)
     flag_col = F.col("is_quarantined") if spec.insert_flag else F.lit(None).cast("boolean")
     return fresh.select(
         *[F.col(c) for c in cols if c not in ("is_quarantined", "effective_start_date",
@@ -196,7 +197,7 @@ def _one_pass(active: DataFrame, source: DataFrame, spec: MergeSpec,
         .withColumn("_matched", F.lit(True)).alias("s")
     j = active.alias("t").join(probe, _key_match(spec.keys, False), "left")
     hit = F.coalesce(F.col("s._matched") & _change(spec, False), F.lit(False))
-    end = (F.lit(now).cast(TimestampNTZType()) if spec.end_on_expire == "now"
+    end = (ntz_lit(now) if spec.end_on_expire == "now"
            else F.lit(None).cast(TimestampNTZType()))
     out = {c: _t(c) for c in cols}
     out["is_active"] = F.when(hit, F.lit(False)).otherwise(_t("is_active"))

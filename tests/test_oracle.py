@@ -131,3 +131,20 @@ def test_marts_over_history_match_oracle(spark, duck, silver_with_history, mart)
     res = duck.execute(sql.mart_after_two_batches(mart))
     d_cols = [d[0] for d in res.description]
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(d_cols, res.fetchall())
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """Timestamps are wall-clock NTZ values and millis are UTC: a driver
+    session in another zone must produce the same rows."""
+    keys = ["scd2_customers", "bronze_orders", "days_since_order"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+
+    def run():
+        return {k: sorted(map(str, E.queries()[k](spark, SF_SMALL).collect())) for k in keys}
+    base = run()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert base == other
