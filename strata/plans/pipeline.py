@@ -21,6 +21,7 @@ from strata.plans.silver import SilverStore
 from strata.schemas import BRONZE, JSON_TABLES, REFRESH_TABLES, SCD2_TABLES
 from strata.sinks.audit import PipelineLog, append_audit, audit_row, read_audit
 from strata.sinks.landing import archive_landing, land_json
+from strata.sinks.tables import BatchTable
 from strata.sources.bronze import read_bronze
 from strata.sources.ingest import Source, extract, latest_watermark
 from strata.sources.reviews import ingest_reviews
@@ -103,15 +104,25 @@ def run_silver(spark: SparkSession, layout: Layout, batch: str, now: dt.datetime
 
 
 def run_gold(spark: SparkSession, layout: Layout, store: SilverStore,
-             as_of: dt.date, if_exists: str = "overwrite") -> dict[str, DataFrame]:
-    """Build the five marts. ``if_exists="ignore"`` keeps a mart that exists
-    (the original's ``CREATE TABLE IF NOT EXISTS``); the default rebuilds."""
+             as_of: dt.date, if_exists: str = "overwrite",
+             batch: str | None = None) -> dict[str, DataFrame]:
+    """Build the five marts as new versions and return reads of them.
+
+    Each mart is a batch-versioned table: a run writes its own folder and
+    commits it through the manifest, so readers of the previous version are
+    never cut off mid-read. ``if_exists="ignore"`` keeps a mart that already
+    has a version (the original's ``CREATE TABLE IF NOT EXISTS``); the
+    default rebuilds.
+    """
     silver = {t: store.read(t) for t in REFRESH_TABLES + SCD2_TABLES}
+    batch = batch or f"{as_of:%Y%m%d}"
     out = {}
     for name, fn in gold.MARTS.items():
         df = fn(silver, as_of) if name == "customer_engagement" else fn(silver)
-        df.write.mode(if_exists).parquet(layout.gold(name))
-        out[name] = spark.read.parquet(layout.gold(name))
+        table = BatchTable(spark, layout.gold(name), df.schema)
+        if not (if_exists == "ignore" and table.committed()):
+            table.write_batch(batch, {"data": df})
+        out[name] = table.read({"data": "latest"})
     return out
 
 
@@ -125,8 +136,9 @@ def run_day(spark: SparkSession, layout: Layout, source: Source, control: list[d
         if reviews_path:
             n = ingest_reviews(spark, reviews_path, layout.landing, day)
             log.event("SUCCESS", f"landed {n} review records", "customer_reviews")
-        store = run_silver(spark, layout, f"{day:%Y%m%d}", now, semantics)
-        return run_gold(spark, layout, store, as_of or day, if_exists)
+        batch = f"{day:%Y%m%d}"
+        store = run_silver(spark, layout, batch, now, semantics)
+        return run_gold(spark, layout, store, as_of or day, if_exists, batch)
     finally:
         log.flush(spark, layout.pipeline_logs, layout.log_files)
 

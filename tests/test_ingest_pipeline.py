@@ -140,3 +140,12 @@ def test_two_day_pipeline(spark, tmp_root):
     counts = {r.tablename: r.record_count for r in audit.collect()}
     assert counts["orders"] == 0 and counts["products"] == 20
     assert spark.read.parquet(layout.pipeline_logs).count() > 0
+    # Gold keeps one committed version per run; "ignore" freezes an existing mart.
+    from strata.plans.pipeline import run_gold
+    from strata.plans.silver import SilverStore
+    from strata.sinks.tables import BatchTable
+    mart = BatchTable(spark, layout.gold("sales_summary"), marts["sales_summary"].schema)
+    assert mart.committed() == ["20240224", "20240225"]
+    run_gold(spark, layout, SilverStore(spark, layout.silver), dt.date(2024, 3, 1),
+             if_exists="ignore", batch="later")
+    assert mart.committed() == ["20240224", "20240225"]
