@@ -206,8 +206,12 @@ def next_batch(bronze: DataFrame, table: str) -> DataFrame:
     """
     df = bronze
     if table == "product_suppliers":
-        w = Window.partitionBy("supplier_id").orderBy("product_id")
-        df = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        # The lowest-product row per supplier, as an aggregate (combined
+        # map-side, so a supplier with a third of all rows is no hot task).
+        cols0 = df.columns
+        df = (df.groupBy("supplier_id")
+              .agg(F.min_by(F.struct(*cols0), "product_id").alias("_r"))
+              .select("_r.*"))
     k = _BATCH_KEY[table]()
     cols = df.columns
     changed_col, changed_expr = _BATCH_CHANGE[table]
