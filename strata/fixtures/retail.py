@@ -16,7 +16,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from strata.functions.columns import epoch_millis, ntz_lit
 from strata.schemas import BRONZE
@@ -28,7 +27,6 @@ STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 # the offset that turns an existing key into a new one in later batches.
 DIM_UPDATED_AT = dt.datetime(2024, 1, 1)
 NEW_KEY_OFFSET = 10_000_000_000
-ONE_HOUR = dt.timedelta(hours=1)
 
 
 def load_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import gold
 from strata.plans.silver import SilverStore
-from strata.schemas import BRONZE, JSON_TABLES, REFRESH_TABLES, SCD2_TABLES
+from strata.schemas import BRONZE, REFRESH_TABLES, SCD2_TABLES
 from strata.sinks.audit import PipelineLog, append_audit, audit_row, read_audit
 from strata.sinks.landing import archive_landing, land_json
 from strata.sinks.tables import BatchTable
@@ -142,5 +142,3 @@ def run_day(spark: SparkSession, layout: Layout, source: Source, control: list[d
     finally:
         log.flush(spark, layout.pipeline_logs, layout.log_files)
 
-
-__all__ = ["Layout", "run_day", "run_ingest", "run_silver", "run_gold", "JSON_TABLES"]

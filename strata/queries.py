@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.conf import (
@@ -255,5 +254,3 @@ def registry() -> dict[str, Query]:
     q.update({f"silver_{t}": _refresh(t) for t in REFRESH_TABLES})
     return q
 
-
-__all__ = ["registry", "Inputs", "F"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.schemas import AUDIT_LOG, PIPELINE_LOG
 
@@ -58,10 +57,3 @@ class PipelineLog:
             stamp = self._clock().strftime("%Y%m%d%H%M%S")
             df.coalesce(1).write.mode("overwrite").json(f"{json_dir}/pipeline_log_{stamp}.json")
 
-
-def audit_frame(rows: list[tuple], spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rows, AUDIT_LOG)
-
-
-def count_rows(df: DataFrame) -> int:
-    return int(df.select(F.count(F.lit(1))).first()[0])

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import AUDIT_LOG, CONTROL
+from strata.schemas import CONTROL
 
 DEFAULT_WATERMARK = "1900-01-01 00:00:00"
 FULL_LOAD = "full load"
@@ -110,7 +110,3 @@ def latest_watermark(audit: DataFrame, table: str) -> str:
     row = watermarks(audit.where(F.col("tablename") == table)).collect()
     return row[0]["latest_timestamp"] if row else DEFAULT_WATERMARK
 
-
-def empty_audit(spark: SparkSession) -> DataFrame:
-    from strata.functions.columns import empty_frame
-    return empty_frame(spark, AUDIT_LOG)

@@ -176,3 +176,13 @@ def test_lazy_merge_matches_spec_on_empty_target(spark):
     res = scd2_merge(empty_frame(spark, silver_schema("orders")), merge_source(b, spec),
                      spec, T1)
     assert res.expired.count() == 0 and res.current.count() == 1
+
+
+def test_tables_exist_typed_and_empty_before_any_load(spark, tmp_root):
+    """CREATE TABLE IF NOT EXISTS: an unloaded silver table reads as a typed empty table."""
+    from strata.schemas import silver_schema
+    store = SilverStore(spark, tmp_root)
+    for t in ("customers", "products"):
+        df = store.read(t)
+        assert df.schema.fieldNames() == silver_schema(t).fieldNames()
+        assert df.count() == 0
