@@ -96,8 +96,8 @@ def run_ingest(spark: SparkSession, layout: Layout, source: Source, control: lis
 
 
 def run_silver(spark: SparkSession, layout: Layout, batch: str, now: dt.datetime,
-               semantics: str = "reference") -> SilverStore:
-    store = SilverStore(spark, layout.silver)
+               semantics: str = "reference", key_ranges: int | None = None) -> SilverStore:
+    store = SilverStore(spark, layout.silver, key_ranges)
     for t in REFRESH_TABLES + SCD2_TABLES:
         store.load(t, read_bronze(spark, layout.landing, t), batch, now, semantics)
     return store
@@ -129,7 +129,8 @@ def run_gold(spark: SparkSession, layout: Layout, store: SilverStore,
 def run_day(spark: SparkSession, layout: Layout, source: Source, control: list[dict],
             day: dt.date, now: dt.datetime, reviews_path: str | None = None,
             as_of: dt.date | None = None, semantics: str = "reference",
-            if_exists: str = "overwrite") -> dict[str, DataFrame]:
+            if_exists: str = "overwrite",
+            key_ranges: int | None = None) -> dict[str, DataFrame]:
     log = PipelineLog(clock=lambda: now)
     try:
         run_ingest(spark, layout, source, control, day, now, log)
@@ -137,7 +138,7 @@ def run_day(spark: SparkSession, layout: Layout, source: Source, control: list[d
             n = ingest_reviews(spark, reviews_path, layout.landing, day)
             log.event("SUCCESS", f"landed {n} review records", "customer_reviews")
         batch = f"{day:%Y%m%d}"
-        store = run_silver(spark, layout, batch, now, semantics)
+        store = run_silver(spark, layout, batch, now, semantics, key_ranges)
         return run_gold(spark, layout, store, as_of or day, if_exists, batch)
     finally:
         log.flush(spark, layout.pipeline_logs, layout.log_files)

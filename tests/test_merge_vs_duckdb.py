@@ -103,26 +103,26 @@ def duck_run(table, batches, stmt):
     return sorted(con.execute("SELECT * FROM tgt").fetchall(), key=repr)
 
 
-def spark_run(spark, table, batches):
-    store = SilverStore(spark, work_dir(spark, "merge_prop"))
+def spark_run(spark, table, batches, key_ranges=None):
+    store = SilverStore(spark, work_dir(spark, "merge_prop"), key_ranges)
     for i, (batch, now) in enumerate(zip(batches, NOWS), 1):
         store.merge(table, spark.createDataFrame(batch, BRONZE[table]), str(i), now)
     return sorted((tuple(r) for r in store.read(table).collect()), key=repr)
 
 
-PROP = settings(max_examples=6, deadline=None,
+PROP = settings(max_examples=8, deadline=None,
                 suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @PROP
-@given(batches=customer_batches())
-def test_customers_merge_equals_native_merge(spark, batches):
-    assert spark_run(spark, "customers", batches) == \
+@given(batches=customer_batches(), key_ranges=st.sampled_from([None, 3]))
+def test_customers_merge_equals_native_merge(spark, batches, key_ranges):
+    assert spark_run(spark, "customers", batches, key_ranges) == \
         duck_run("customers", batches, CUSTOMERS_MERGE)
 
 
 @PROP
-@given(batches=mapping_batches())
-def test_mappings_merge_equals_native_merge(spark, batches):
-    assert spark_run(spark, "product_suppliers", batches) == \
+@given(batches=mapping_batches(), key_ranges=st.sampled_from([None, 2]))
+def test_mappings_merge_equals_native_merge(spark, batches, key_ranges):
+    assert spark_run(spark, "product_suppliers", batches, key_ranges) == \
         duck_run("product_suppliers", batches, MAPPINGS_MERGE)

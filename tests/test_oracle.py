@@ -111,7 +111,7 @@ def silver_with_history(spark):
     from strata.schemas import REFRESH_TABLES, SCD2_TABLES
     from strata.session import work_dir
     bronze = Inputs(spark, SF_SMALL).bronze
-    store = SilverStore(spark, work_dir(spark, "marts_history"))
+    store = SilverStore(spark, work_dir(spark, "marts_history"), key_ranges=4)
     for t in REFRESH_TABLES:
         store.refresh(t, bronze[t], "1")
     for t in SCD2_TABLES:

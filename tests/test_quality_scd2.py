@@ -71,8 +71,8 @@ def test_distinct_flagged_collapses_repeats(spark):
 
 # --- SCD2 merge --------------------------------------------------------------------
 
-def merge_runs(spark, tmp_root, table, batches, **kw):
-    store = SilverStore(spark, tmp_root)
+def merge_runs(spark, tmp_root, table, batches, key_ranges=None, **kw):
+    store = SilverStore(spark, tmp_root, key_ranges)
     for i, (rows, now) in enumerate(batches, 1):
         store.merge(table, frame(spark, table, rows), str(i), now, **kw)
     return store.read(table)
@@ -83,12 +83,14 @@ def state(df, key):
                    r.effective_start_date, r.effective_end_date) for r in df.collect())
 
 
-def test_new_same_changed_and_gap(spark, tmp_root):
+@pytest.mark.parametrize("key_ranges", [None, 2])
+def test_new_same_changed_and_gap(spark, tmp_root, key_ranges):
     b1 = [(1, "a", "a@x", "1"), (2, "b", "b@x", "1")]
     b2 = [(1, "a", "a@x", "1"),            # same -> nothing
           (2, "b", "b2@x", "2"),           # changed -> expired only (gap)
           (3, "c", "c@x", "2")]            # new -> inserted
-    out = merge_runs(spark, tmp_root, "customers", [(b1, T1), (b2, T2), (b2, T3)])
+    out = merge_runs(spark, tmp_root, "customers", [(b1, T1), (b2, T2), (b2, T3)],
+                     key_ranges)
     rows = state(out, "customer_id")
     assert rows == [
         (1, "a@x", True, T1, None),
@@ -157,10 +159,11 @@ def test_history_never_changes(spark, tmp_root):
     assert set(hist) <= set(hist_after)
 
 
-def test_rerun_of_a_batch_is_idempotent(spark, tmp_root):
+@pytest.mark.parametrize("key_ranges", [None, 2])
+def test_rerun_of_a_batch_is_idempotent(spark, tmp_root, key_ranges):
     b1 = [(1, "a", "a@x", "1"), (2, "b", "b@x", "1")]
     b2 = [(2, "b", "b2@x", "2"), (3, "c", "c@x", "2")]
-    store = SilverStore(spark, tmp_root)
+    store = SilverStore(spark, tmp_root, key_ranges)
     store.merge("customers", frame(spark, "customers", b1), "1", T1)
     store.merge("customers", frame(spark, "customers", b2), "2", T2)
     first = sorted(map(tuple, store.read("customers").collect()))
