@@ -10,6 +10,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 #: A word is a run of characters other than space and \t..\r (ASCII only).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -78,10 +79,10 @@ def with_prefix(df: DataFrame, order: list[Column], sums: dict[str, str], tag: s
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = ["_rank", *sums]
-    schema = df.schema
+    schema = StructType(list(df.schema.fields))
     for c in names:
-        schema = schema.add(c, "long")
-    schema = schema.add("_part", "int")
+        schema.add(c, LongType())
+    schema.add("_part", IntegerType())
     inputs = list(sums.values())
 
     def local(batches):

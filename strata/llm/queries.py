@@ -9,13 +9,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.urls import filter_urls
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.quality import quality_report
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.sharding import shards
+    return shards(table(spark, sf_dir, "documents"), 40)
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from strata.llm.tokens import token_output
+    return token_output(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES = {
+    "op5_url_filter": op5_url_filter,
     "op7_quality_rules": op7_quality_rules,
+    "op9_sharding": op9_sharding,
+    "op10_token_output": op10_token_output,
 }
 
-SQL: dict[str, str] = {}
+
+def _url_sql() -> str:
+    """The listed rules by suffix and prefix tests, the rest by LIKE."""
+    from strata.llm.urls import GENERAL, LISTED
+    fits, names, verdicts = [], [], []
+    for r in sorted(LISTED, key=lambda r: -r.weight):
+        host, slash, path = r.name.partition("/")
+        fit = f"(('.' || host) LIKE '%.{host}' AND starts_with(path, '{slash}{path}'))"
+        names.append(f"WHEN {fit} THEN '{r.name}'")
+        verdicts.append(f"WHEN {fit} THEN '{r.verdict}'")
+    for r in GENERAL:
+        verdicts.append(f"WHEN host LIKE '%{r.glob.split('*')[1]}%' THEN '{r.verdict}'")
+    return f"""
+    WITH parts AS (
+      SELECT page_id,
+             translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+      FROM pages)
+    SELECT page_id, host, path, CASE {' '.join(names)} END AS rule,
+           CASE {' '.join(verdicts)} ELSE 'allow' END AS verdict
+    FROM parts"""
+
+
+SQL: dict[str, str] = {"op5_url_filter": _url_sql()}
