@@ -14,6 +14,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.quality import quality_report
     return quality_report(table(spark, sf_dir, "documents"))
@@ -33,6 +38,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_url_filter": op5_url_filter,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_token_output": op10_token_output,
