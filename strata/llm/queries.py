@@ -24,6 +24,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.passages import repeated_passages
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.sharding import shards
     return shards(table(spark, sf_dir, "documents"), 40)
@@ -40,6 +45,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_token_output": op10_token_output,
 }
