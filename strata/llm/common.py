@@ -20,11 +20,12 @@ GAP = r"[\x20\x09-\x0D]+"
 _written: list[str] = []
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
+def scratch(spark: SparkSession, tag: str, keep: bool = False) -> str:
     """A fresh folder for one intermediate table, below ``spark.checkpoint.dir``.
 
     The setting names storage that driver and executors share. It is set here
-    only if it is absent, which is the case in local tests.
+    only if it is absent, which is the case in local tests. ``release`` spares
+    folders to ``keep``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -33,7 +34,8 @@ def scratch(spark: SparkSession, tag: str) -> str:
         root = tempfile.mkdtemp(prefix="strata-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/llm/{tag}-{uuid.uuid4().hex[:12]}"
-    _written.append(path)
+    if not keep:
+        _written.append(path)
     return path
 
 

@@ -9,6 +9,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from strata.llm.pieces import encoded
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.decontaminate import leaks
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.urls import filter_urls
     return filter_urls(table(spark, sf_dir, "pages"))
@@ -42,6 +53,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_quality_rules": op7_quality_rules,
