@@ -9,6 +9,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.html import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from strata.llm.pieces import encoded
@@ -53,6 +58,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
