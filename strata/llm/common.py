@@ -69,14 +69,15 @@ def lower_ascii(c: Column) -> Column:
 
 
 def with_prefix(df: DataFrame, order: list[Column], sums: dict[str, str], tag: str,
-                parts: int | None = None) -> DataFrame:
+                parts: int | None = None, within: list[Column] = ()) -> DataFrame:
     """Rows in global ``order`` with exclusive prefix sums over all rows before.
 
     ``sums`` maps a new column to the long column it sums. A ``_rank`` column
     numbers the rows from 0. Rows are range-partitioned and sorted; every task
     adds up its own partition; the per-partition totals (one row a partition)
     give each partition its offset. Rows equal in all order columns may take
-    each other's place.
+    each other's place. Rows equal in ``order`` share a partition, in which
+    ``within`` orders them further.
     """
     spark = df.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -103,7 +104,7 @@ def with_prefix(df: DataFrame, order: list[Column], sums: dict[str, str], tag: s
             cols.append(pa.array(np.full(b.num_rows, part, np.int32)))
             yield pa.RecordBatch.from_arrays(cols, [*b.schema.names, *names, "_part"])
 
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order, *within)
     rows = written(ordered.mapInArrow(local, schema), tag)
     last = {"_rank": F.max(F.col("_rank") + 1)}
     last |= {c: F.max(F.col(c) + F.coalesce(F.col(src), F.lit(0))) for c, src in sums.items()}

@@ -20,6 +20,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.lm import scored
+    return scored(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.decontaminate import leaks
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,6 +65,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_decontamination": op4_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_minhash_dedup": op6_minhash_dedup,
