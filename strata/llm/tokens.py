@@ -21,6 +21,7 @@ text are read.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -50,17 +51,18 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     ids = ids.astype(np.uint64)
-    at = np.arange(n)
-    end = np.minimum((at // block + 1) * block, n)
+    width = np.searchsorted(1 << np.arange(64, dtype=np.uint64), ids, "right").astype(np.uint8) \
+        if ids.max() >> np.uint64(52) else np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+    at = np.arange(n, dtype=np.int32)
+    room = np.minimum((at // block + 1) * block, n) - at
     best = np.full(n, ESCAPE, np.uint8)
-    for s in range(len(PACK) - 1, -1, -1):
+    for s in range(len(PACK) - 1, -1, -1):  # a selector that holds more comes later
         count, bits = PACK[s]
-        fits = ids >> np.uint64(bits) == 0
-        if count > 1:
-            stop = np.where(fits, n, at)
-            stop = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], end)
-            fits = stop - at >= count
-        best[fits] = s
+        fits = np.flatnonzero(width <= bits).astype(np.int32)
+        if len(fits) < count:
+            continue
+        fits = fits[:len(fits) - count + 1][fits[count - 1:] - fits[:len(fits) - count + 1] == count - 1]
+        best[fits[room[fits] >= count]] = s
     step = np.array([c for c, _ in PACK] + [1])
     # Follow the chosen steps in all blocks at once.
     pos = np.arange(0, n, block)
@@ -169,55 +171,62 @@ class WordEncoder:
     """The tokenizer with a bounded memory of white-space-separated words.
 
     The tokenizer splits at white space, lower-cases and drops it, so the ids
-    of a text are those of its words one after another. A letter followed by a
-    final full stop or comma always starts a new piece there, so these two
-    need no entry for each word they follow. New words are encoded together in
-    one text and told apart by their offsets.
+    of a text are those of its words one after another. It also splits letters
+    from a run of punctuation after them, so a word of this form needs no
+    entry beyond those of its two parts, and it keeps letters together: new
+    words of letters are encoded many at a time as one text and told apart by
+    their last pieces, which the vocabulary marks.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    #: letters whose lower case is one letter, then ASCII punctuation
+    FORM = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-/:-@\\[-`{-~]*)")
+    MANY = 1000
+
+    def __init__(self, path: str, limit: int = 600_000, last: str = "</w>"):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.known = limit, {"": []}
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 1000):
-            some = words[i:i + 1000]
-            if any("<|" in w for w in some):  # special tokens may swallow what is around them
-                for w in some:
-                    self.known[w] = self.tokenizer.encode(w, add_special_tokens=False).ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, i in vocabulary.items():
+            self.ends[i] = piece.endswith(last)
+        self.limit, self.known = limit, {"": b""}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, stems: list[str], rest: list[str]) -> None:
+        groups = [stems[i:i + self.MANY] for i in range(0, len(stems), self.MANY)]
+        for words, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cut) != len(words):
+                rest = rest + words
                 continue
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begin = np.cumsum([0] + [len(w) + 1 for w in some])
-            owner = np.searchsorted(begin, np.array([a for a, _ in got.offsets], np.int64), "right") - 1
-            cut = np.searchsorted(owner, np.arange(len(some) + 1)).tolist()
-            ids = got.ids
-            for w, a, b in zip(some, cut, cut[1:]):
-                self.known[w] = ids[a:b]
-
-    @staticmethod
-    def _split(w: str) -> tuple[str, str]:
-        if w[-1] in ".," and len(w) > 1 and w[-2].isalpha():
-            w, mark = w[:-1], w[-1]
-        else:
-            mark = ""
-        return (w.lower() if w.isascii() and "<|" not in w else w), mark
+            raw, at = ids.tobytes(), 0
+            for w, e in zip(words, cut.tolist()):
+                self.known[w] = raw[at:e]
+                at = e
+        for w, ids in zip(rest, self._encode(rest)):
+            self.known[w] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = [w for w in set(chain.from_iterable(lists)) if w not in self.known]
-        if new:
-            if len(self.known) > self.limit:
-                self.known = {"": []}
-                new = list(set(chain.from_iterable(lists)) - {""})
-            parts = [self._split(w) for w in new]
-            self._learn(list({x for p in parts for x in p if x not in self.known}))
-            for w, (stem, mark) in zip(new, parts):
-                self.known[w] = self.known[stem] + self.known[mark] if mark else self.known[stem]
-        ids = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids, ws)), np.uint32) for ws in lists]
+        words, known = set(chain.from_iterable(lists)), self.known
+        new = words.difference(known)
+        if len(known) + len(new) > self.limit:
+            known.clear()
+            known[""] = b""
+            new = words
+        forms = [(w, self.FORM.fullmatch(w)) for w in new]
+        stems = {m[1].lower() for _, m in forms if m}.difference(known)
+        rest = {m[2] for _, m in forms if m}.union(w for w, m in forms if not m).difference(known)
+        self._learn(list(stems), list(rest))
+        for w, m in forms:
+            if m:
+                known[w] = known[m[1].lower()] + known[m[2]]
+        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in lists]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> tuple[str, DataFrame]:
