@@ -5,7 +5,8 @@
    sets form a class; only classes go on.
 2. Classes that share a band key are candidates. No bucket is paired out:
    first every class meets one bucket leader (the one it shares most bands
-   with), and the links found merge classes into components. Then only
+   with), then members of large buckets meet in a few rounds of random
+   couples, and the links found merge classes into components. Then only
    members of a bucket that are in different components still meet, the
    bucket's largest component on one side only. Two members of which exact
    distances to the same leader are known and differ by more than the link
@@ -37,13 +38,19 @@ from strata.llm.graph import components
 
 SHINGLE = 5
 ROWS, BANDS = 6, 56
+#: Hashes of a signature; the bands take the first ROWS * BANDS.
+HASHES = 784
 #: Link when PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 75
-MISS = 1e-6
+MISS = 1e-5
 #: Hashes compared between two looks at the posterior.
-BATCH = 28
+BATCH = 56
 #: Below this similarity the first meeting with a leader stays a bound.
 FAR = 0.5
+#: Buckets of so many classes let their members meet in random couples first.
+LARGE, ROUNDS = 16, 3
+#: Rows of a bucket that a task holds while the others pass.
+BLOCK = 4096
 #: Texts are refetched by a broadcast key list up to so many keys (16 bytes each).
 BROADCAST_KEYS = 1_000_000
 
@@ -91,7 +98,7 @@ class Signer:
 
     def __init__(self):
         rng = np.random.default_rng(77)
-        n = ROWS * BANDS
+        n = HASHES
         self.a = (rng.integers(0, 1 << 31, n, np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
         self.b = rng.integers(0, 1 << 32, n, np.uint32)[:, None]
         self.mult = rng.integers(1, 1 << 63, ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,15 +106,15 @@ class Signer:
     def minima(self, s: np.ndarray) -> np.ndarray:
         low = (s ^ (s >> np.uint64(32))).astype(np.uint32)
         best = None
-        for i in range(0, len(low), 512):  # blocks that stay in the cache
-            v = self.a * low[None, i:i + 512]
+        for i in range(0, len(low), 256):  # blocks that stay in the cache
+            v = self.a * low[None, i:i + 256]
             v += self.b
             m = v.min(axis=1)
             best = m if best is None else np.minimum(best, m)
         return best
 
     def bands(self, minima: np.ndarray) -> np.ndarray:
-        m = minima.reshape(BANDS, ROWS).astype(np.uint64)
+        m = minima[:ROWS * BANDS].reshape(BANDS, ROWS).astype(np.uint64)
         key = (m * self.mult).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
         key *= np.uint64(0x9E3779B97F4A7C15)
         return (key ^ (key >> np.uint64(31))).view(np.int64)
@@ -118,7 +125,7 @@ class Signer:
         return (mixed >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
-def least_matches(threshold: float, miss: float = MISS, n: int = ROWS * BANDS,
+def least_matches(threshold: float, miss: float = MISS, n: int = HASHES,
                   batch: int = BATCH) -> list[tuple[int, int]]:
     """(compared, fewest matches that keep P(similarity >= threshold) >= miss).
 
@@ -261,7 +268,7 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     linked = F.col("common") * 100 >= F.col("joint") * PERCENT
     keys = classes.select("cid", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("cid").alias("leader"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").select("key", "leader")
+        .where("n > 1")
     members = written(keys.join(written(buckets, "buckets"), "key"), "members")
 
     # Every class meets one leader.
@@ -272,7 +279,30 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     alive = first.where("alive").select("a", "b")
     sets = full_sets(docs, classes, _ends(alive))
     exact = written(measured(alive, sets), "measured")
-    merged = components(exact.where(linked))
+    links = written(exact.where(linked).select("a", "b"), "links")
+    merged = components(links)
+
+    # In large buckets that still hold several components, members meet in
+    # random couples: a group of near copies then falls together although its
+    # members do not all resemble one leader.
+    large = written(members.where(F.col("n") >= LARGE).select("key", "cid", "n"), "large")
+    if large.limit(1).count():
+        sets = full_sets(docs, classes, large.select("cid").distinct())
+    else:
+        large = None
+    for turn in range(ROUNDS if large is not None else 0):
+        placed = large.join(merged.withColumnRenamed("node", "cid"), "cid", "left").select(
+            "key", "cid", "n", F.coalesce("component", "cid").alias("comp"))
+        seat = F.pmod(F.xxhash64("cid", F.lit(turn)), F.greatest(F.col("n") / 2, F.lit(1)).cast("long"))
+        who = F.struct("comp", "cid")
+        couples = placed.groupBy("key", seat.alias("seat")).agg(F.min(who).alias("x"), F.max(who).alias("y")) \
+            .where("x.comp <> y.comp").select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
+        near = looked_at(couples.distinct(), classes, PERCENT / 100).where("alive")
+        more = written(measured(near, sets).where(linked).select("a", "b"), "links")
+        if not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        merged = components(links)
 
     # Members of one bucket in different components meet, unless their
     # distances to a common leader rule a link out.
@@ -283,25 +313,84 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     placed = written(
         members.select("key", "cid").join(merged.withColumnRenamed("node", "cid"), "cid", "left")
         .join(near, "cid", "left")
-        .select("key", "cid", F.coalesce("component", "cid").alias("comp"), "met",
-                F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")),
-        "placed")
-    mixed = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("big"))
-    mixed = written(mixed.where("comps > 1").select("key", F.col("big.comp").alias("big")), "mixed")
-    inside = written(placed.join(mixed, "key"), "inside")
-    left = inside.where("comp <> big").select("key", *[F.col(c).alias(f"l_{c}") for c in ("cid", "comp", "met", "low", "high")])
-    right = inside.alias("r")
-    slack = (100 - PERCENT) / 100 + 1e-9
-    apart = F.coalesce((F.col("l_met") == F.col("met")) & (
-        (F.col("l_low") - F.col("high") > slack) | (F.col("low") - F.col("l_high") > slack)), F.lit(False))
-    pairs = left.join(right, (left["key"] == F.col("r.key")) & (F.col("l_comp") != F.col("comp"))
-                      & ((F.col("comp") == F.col("big")) | (F.col("l_cid") < F.col("cid"))) & ~apart)
-    pairs = pairs.select(F.least("l_cid", "cid").alias("a"), F.greatest("l_cid", "cid").alias("b")).distinct()
-    again = written(looked_at(pairs, classes, PERCENT / 100).where("alive").select("a", "b"), "again")
+        .select("key", "cid", F.coalesce("component", "cid").alias("comp"), F.coalesce("met", F.lit(-1)).alias("met"),
+                F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")), "placed")
+    again = written(mixed_pairs(placed, classes), "again")
     more = measured(again, full_sets(docs, classes, _ends(again))).where(linked)
-    tree = merged.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(tree.unionByName(more.select("a", "b"))).withColumnRenamed("node", "cid")
+    return components(links.unionByName(more.select("a", "b"))).withColumnRenamed("node", "cid")
+
+
+def mixed_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): members of one bucket in different components that survive the
+    posterior test, each pair from the first bucket the two share.
+
+    The bucket's largest component stands on one side only. That side is dealt
+    over blocks of about BLOCK rows, which tasks hold in memory one at a time;
+    the other side is copied to every block of its bucket and streams past it.
+    So no task holds a bucket, and no row is made for a pair that the test drops.
+    A bucket of two whose one member has met the other before is done.
+    """
+    sizes = placed.groupBy("key", "comp").agg(
+        F.count(F.lit(1)).alias("n"), F.min("cid").alias("low"), F.max(F.struct("cid", "met")).alias("top")) \
+        .groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("big"),
+                            F.sum("n").alias("all"), F.min("low").alias("low"), F.max("top").alias("top"))
+    sizes = written(sizes.where("comps > 1 and not (all = 2 and top.met = low)").select(
+        "key", F.col("big.comp").alias("big"), F.ceil(F.col("all") / BLOCK).alias("blocks")), "sizes")
+    inside = placed.join(sizes, "key")
+    held = inside.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks")).withColumn("side", F.lit(0))
+    passing = inside.where("comp <> big").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))) \
+        .withColumn("side", F.lit(1))
+    columns = ["key", "block", "side", "cid", "comp", "big", "met", "low", "high"]
+    payload = classes.select("cid", F.transform("bands", lambda x: F.hash(x)).alias("bands"), "sig")
+    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = held.select(*columns).unionByName(passing.select(*columns)) \
+        .withColumn("name", F.hash("key")).join(payload, "cid") \
+        .repartition(n, "key", "block").sortWithinPartitions("key", "block", "side")
+    limits = least_matches(PERCENT / 100)
+    slack = (100 - PERCENT) / 100 + 1e-9
+
+    def run(batches):
+        here, kept, ready = None, [], None
+        for b in batches:
+            t = {c: b.column(c).to_numpy(zero_copy_only=False)
+                 for c in ("key", "block", "side", "cid", "comp", "big", "met", "low", "high", "name")}
+            bands = b.column("bands").flatten().to_numpy().reshape(b.num_rows, -1)
+            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint8).reshape(b.num_rows, -1)
+            out_a, out_b = [], []
+            for i in range(b.num_rows):
+                place = t["key"][i], t["block"][i]
+                if place != here:
+                    here, kept, ready = place, [], None
+                me = {c: t[c][i] for c in ("cid", "comp", "met", "low", "high")} | {"bands": bands[i], "sig": sig[i]}
+                if t["side"][i] == 0:
+                    kept.append(me)
+                    continue
+                if not kept:
+                    continue
+                if ready is None:
+                    ready = {c: np.array([k[c] for k in kept]) for c in kept[0]}
+                r = ready
+                on = (r["comp"] != me["comp"]) & ((r["comp"] == t["big"][i]) | (me["cid"] < r["cid"]))
+                on &= ~((r["met"] == me["met"]) & (me["met"] >= 0)
+                        & ((me["low"] - r["high"] > slack) | (r["low"] - me["high"] > slack)))
+                live = np.flatnonzero(on)
+                if len(live):
+                    same = r["bands"][live] == me["bands"]
+                    live = live[me["bands"][same.argmax(axis=1)] == t["name"][i]]
+                matches, at = np.zeros(len(live), np.int64), 0
+                for upto, least in limits:
+                    if not len(live):
+                        break
+                    matches += (r["sig"][live, at:upto] == me["sig"][at:upto]).sum(axis=1)
+                    stay = matches >= least
+                    live, matches, at = live[stay], matches[stay], upto
+                out_a.append(np.minimum(r["cid"][live], me["cid"]))
+                out_b.append(np.maximum(r["cid"][live], me["cid"]))
+            if out_a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a), pa.int64()),
+                                                  pa.array(np.concatenate(out_b), pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
