@@ -12,18 +12,18 @@ AS_OF = dt.date(2025, 1, 1)
 INGEST_CLOCK_1 = dt.datetime(1997, 1, 1)
 INGEST_CLOCK_2 = dt.datetime(1998, 1, 1)
 
-# The control rows of the retailer and supplier databases
+# The control rows of the shop and supplier databases
 # (database, datasource, tablename, loadtype, watermark, is_active, targetpath).
 CONTROL_ROWS = [
-    ("retailer", "retailer_db", "products", "Full Load", "", "1", "landing/retailer-db/products"),
-    ("retailer", "retailer_db", "categories", "Full Load", "", "1",
-     "landing/retailer-db/categories"),
-    ("retailer", "retailer_db", "customers", "Incremental", "updated_at", "1",
-     "landing/retailer-db/customers"),
-    ("retailer", "retailer_db", "orders", "Incremental", "updated_at", "1",
-     "landing/retailer-db/orders"),
-    ("retailer", "retailer_db", "order_items", "Incremental", "updated_at", "1",
-     "landing/retailer-db/order_items"),
+    ("shop", "shop_db", "products", "Full Load", "", "1", "landing/shop-db/products"),
+    ("shop", "shop_db", "categories", "Full Load", "", "1",
+     "landing/shop-db/categories"),
+    ("shop", "shop_db", "customers", "Incremental", "updated_at", "1",
+     "landing/shop-db/customers"),
+    ("shop", "shop_db", "orders", "Incremental", "updated_at", "1",
+     "landing/shop-db/orders"),
+    ("shop", "shop_db", "order_items", "Incremental", "updated_at", "1",
+     "landing/shop-db/order_items"),
     ("supplier-db", "mysql-db", "suppliers", "Full Load", "created_at", "1", "supplier"),
     ("supplier-db", "mysql-db", "product_suppliers", "Incremental", "last_updated", "1",
      "supplier"),
@@ -34,3 +34,6 @@ CONTROL_COLUMNS = ("database", "datasource", "tablename", "loadtype", "watermark
 
 def control_dicts() -> list[dict]:
     return [dict(zip(CONTROL_COLUMNS, r)) for r in CONTROL_ROWS]
+
+# Offset of the keys of added rows that no other table refers to.
+UNREFERENCED = 50_000_000

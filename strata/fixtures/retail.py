@@ -1,7 +1,7 @@
 """Star schema -> retail operational tables (the fixture adapters).
 
 The driver's test data is a TPC-H-like star schema. These adapters turn it
-into the shape of the retailer and supplier databases, and add the dirty
+into the shape of the shop and supplier databases, and add the dirty
 rows, gaps and duplicate keys that the quarantine and merge rules need
 (see FIXTURES.md). ``source_tables`` gives the operational shape (real
 timestamps, as a JDBC read would); ``bronze_tables`` gives what the bronze
@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.conf import UNREFERENCED
 from strata.functions.columns import epoch_millis, ntz_lit
 from strata.schemas import BRONZE
 
@@ -37,8 +38,27 @@ def _ts_lit(v: dt.datetime):
     return ntz_lit(v)
 
 
+def _with_unreferenced(df: DataFrame, key: str, cond, offset: int) -> DataFrame:
+    """``df`` and, under offset keys, copies of some rows that no other table
+    refers to. Every row of ``df`` stays."""
+    return df.unionByName(df.where(cond).withColumn(key, F.col(key) + offset))
+
+
 def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Operational tables, as they would come out of the source databases."""
+    """Operational tables, as they would come out of the source databases.
+
+    Each holds all rows of the table it derives from. Products without sales
+    or suppliers, customers without orders and orders without lines are added
+    rows under offset keys.
+    """
+    star = {**star,
+            "part": _with_unreferenced(star["part"], "p_partkey", F.col("p_partkey") % 25 == 3,
+                                       UNREFERENCED),
+            "customer": _with_unreferenced(star["customer"], "c_custkey",
+                                           F.col("c_custkey") % 10 == 7, UNREFERENCED),
+            "orders": _with_unreferenced(star["orders"], "o_orderkey",
+                                         F.col("o_orderkey") % 13 == 0, UNREFERENCED),
+            "all_parts": star["part"]}
     part, lineitem = star["part"], star["lineitem"]
     dim_ts = _ts_lit(DIM_UPDATED_AT)
 
@@ -69,8 +89,7 @@ def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         dim_ts.alias("updated_at"))
 
     o = star["orders"]
-    orders = (o.where(F.col("o_custkey") % 10 != 7)
-              .select(F.col("o_orderkey").alias("order_id"),
+    orders = (o.select(F.col("o_orderkey").alias("order_id"),
                       F.when(F.col("o_orderkey") % 100 == 5, None)
                       .otherwise(F.col("o_custkey")).alias("customer_id"),
                       F.col("o_orderdate").alias("order_date"),
@@ -84,7 +103,6 @@ def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
         "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
     order_items = (lineitem.withColumn("rn", F.row_number().over(w))
-                   .where((F.col("l_orderkey") % 13 != 0) & (F.col("l_partkey") % 25 != 3))
                    .select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100
                             + F.col("rn")).alias("order_item_id"),
                            F.col("l_orderkey").alias("order_id"),
@@ -112,8 +130,7 @@ def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
                          F.col("r_name").alias("country"),
                          dim_ts.alias("created_at")))
 
-    product_suppliers = (lineitem.where(F.col("l_partkey") % 30 != 11)
-                         .groupBy("l_suppkey", "l_partkey")
+    product_suppliers = (lineitem.groupBy("l_suppkey", "l_partkey")
                          .agg(F.min("l_extendedprice").alias("min_price"),
                               F.max("l_shipdate").alias("last_updated"))
                          .select(F.when(F.col("l_suppkey") % 50 == 49,
@@ -132,10 +149,9 @@ def source_tables(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def review_records(star: dict[str, DataFrame]) -> DataFrame:
     """Review records as the reviews feed delivers them (already flat text)."""
-    e, part = star["events"], star["part"]
+    e, part = star["events"], star.get("all_parts", star["part"])
     n_parts = part.select(F.count(F.lit(1))).scalar()
     return (e.withColumn("product_id", (F.col("event_id") * 7) % n_parts)
-            .where(F.col("product_id") % 20 != 0)
             .select(F.col("event_id").cast("string").alias("id"),
                     F.col("user_id").alias("customer_id"),
                     "product_id",

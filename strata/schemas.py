@@ -52,7 +52,7 @@ BRONZE: dict[str, StructType] = {
         ("review_text", S), ("review_date", S)),
 }
 
-# Tables whose landing files come from the retailer / supplier databases
+# Tables whose landing files come from the shop / supplier databases
 # (JSON lines) versus the reviews feed (Parquet snapshots).
 JSON_TABLES = ("orders", "customers", "products", "categories", "order_items",
                "suppliers", "product_suppliers")

@@ -35,7 +35,7 @@ def orders_source(spark):
 def test_control_table_csv(spark, tmp_root):
     path = f"{tmp_root}/config.csv"
     lines = [",".join(CONTROL_COLUMNS)] + [",".join(r) for r in CONTROL_ROWS]
-    lines.append("retailer,retailer_db,old_table,Full Load,,0,x")
+    lines.append("shop,shop_db,old_table,Full Load,,0,x")
     spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1) \
         .write.mode("overwrite").text(path)
     control = read_control(spark, path)
