@@ -22,7 +22,7 @@ from strata.functions.columns import empty_frame
 from strata.operators.quality import quarantine
 from strata.operators.scd2 import SPECS, merge_source, multi_match_rows, scd2_merge
 from strata.schemas import REFRESH_TABLES, SCD2_TABLES, silver_schema
-from strata.sinks.tables import BatchTable, RangeTable
+from strata.sinks.tables import BatchTable
 
 
 def refresh(bronze: DataFrame, table: str) -> DataFrame:
@@ -50,26 +50,14 @@ class MultiMatchError(RuntimeError):
 
 
 class SilverStore:
-    """Written silver tables below ``root``.
+    """Written silver tables below ``root``, one ``BatchTable`` each. A batch
+    rewrites an SCD2 table's active part; history is only added to."""
 
-    By default each batch rewrites an SCD2 table's whole active part (one
-    ``BatchTable``). With ``key_ranges=N`` the active part is kept in key
-    ranges (``RangeTable``, N ranges at the first load) and a merge reads and
-    rewrites only the ranges its batch touches: the setting for large tables,
-    where the active set dwarfs a day's delta. On small tables the extra
-    range bookkeeping (a few small jobs and a range-partitioned write) costs
-    more than it saves. Refreshed tables are one ``BatchTable`` each.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, key_ranges: int | None = None):
-        self.spark, self.root, self.key_ranges = spark, root.rstrip("/"), key_ranges
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     def table(self, name: str) -> BatchTable:
-        path = f"{self.root}/{name}"
-        if name in SCD2_TABLES and self.key_ranges:
-            return RangeTable(self.spark, path, silver_schema(name), SPECS[name].keys[0],
-                              self.key_ranges)
-        return BatchTable(self.spark, path, silver_schema(name))
+        return BatchTable(self.spark, f"{self.root}/{name}", silver_schema(name))
 
     def read(self, name: str) -> DataFrame:
         t = self.table(name)
@@ -84,8 +72,7 @@ class SilverStore:
 
         When there is a target, the flagged source (a distinct over the
         batch's bronze rows) is persisted for the duration of the merge: the
-        range lookup, the multi-match test and the joins all read it, and
-        the bronze files are parsed once. A lost executor only costs
+        multi-match test and the joins both read it, and the bronze files are parsed once. A lost executor only costs
         recomputing its cached blocks.
         """
         spec = SPECS[name]
@@ -98,21 +85,13 @@ class SilverStore:
         if cache_source:
             source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if isinstance(tbl, RangeTable):
-                width = tbl.width_for(prev, source)
-                touched = tbl.ranges_in(source, width)
-                active = tbl.read_active(prev, touched)
-            else:
-                active = tbl.read_parts({"active": prev[-1:]})
+            active = tbl.read_parts({"active": prev[-1:]})
             unique = bool(prev) and semantics == "reference" and \
                 self._unique_keys(source, spec)
             if on_multi_match == "error" and semantics == "reference" and prev and not unique:
                 self._check_multi_match(name, active, source, spec)
             res = scd2_merge(active, source, spec, now, semantics, unique_source_keys=unique)
-            if isinstance(tbl, RangeTable):
-                tbl.write_ranged(batch, res.parts(), width, touched, committed=prev)
-            else:
-                tbl.write_batch(batch, res.parts(), committed=prev)
+            tbl.write_batch(batch, res.parts())
         finally:
             if cache_source:
                 source.unpersist()
@@ -145,7 +124,9 @@ class SilverStore:
                 f"{name}: a target row would be updated by several source rows")
 
     def refresh(self, name: str, bronze: DataFrame, batch: str) -> None:
-        self.table(name).write_batch(batch, {"data": refresh(bronze, name)})
+        tbl = self.table(name)
+        tbl.previous_for(batch)  # a late re-run of an older batch is refused, as in a merge
+        tbl.write_batch(batch, {"data": refresh(bronze, name)})
 
     def load(self, name: str, bronze: DataFrame, batch: str, now: dt.datetime,
              semantics: str = "reference") -> None:

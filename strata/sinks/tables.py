@@ -1,25 +1,29 @@
 """Batch-versioned Parquet tables on shared storage.
 
-A table is a folder of batches, ``<root>/batch=<id>/kind=<part>/``, plus an
-append-only manifest ``<root>/_manifest/`` that lists committed batches in
-order. A batch folder is written in one job with ``mode("overwrite")``, so
-a retried batch replaces its own partial output; the manifest row is
-appended last and is the commit point. Nothing that a running job reads is
-ever overwritten: a merge reads the previous batch and writes its own.
-
-Reads select committed batches by partition filters, so uncommitted or
-abandoned folders are pruned away and never listed into the plan.
+A table is a folder of batches, ``<root>/batch=<id>/attempt=<name>/kind=<part>/``,
+plus an append-only manifest ``<root>/_manifest/`` that lists committed
+batches in order: the attempt that counts and the row count of each part.
+Every run of a batch writes a folder of its own, so a failed run leaves the
+committed one as it was; the manifest row is appended last and is the commit
+point. Nothing that was committed is ever overwritten.
+
+Reads name the committed attempts' folders. A part that the manifest counts
+rows of must be there: a lost folder is an error, not an empty table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
 from strata.functions.columns import empty_frame
 
-_MANIFEST = StructType([StructField("seq", LongType()), StructField("batch", StringType())])
+_MANIFEST = StructType([
+    StructField("seq", LongType()), StructField("batch", StringType()),
+    StructField("attempt", StringType()), StructField("rows", MapType(StringType(), LongType()))])
 
 
 class BatchTable:
@@ -27,25 +31,30 @@ class BatchTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     # -- manifest ---------------------------------------------------------
+    def _manifest(self) -> list:
+        """The last commit of each batch, oldest first (one small row a batch)."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return []
+        rows = (self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
+                .groupBy("batch").agg(F.max(F.struct("seq", "attempt")).alias("last"),
+                                      F.max_by("rows", "seq").alias("rows")).collect())
+        return sorted(rows, key=lambda r: r["last"]["seq"])
+
     def committed(self) -> list[str]:
-        """Committed batch ids, oldest first (one tiny row per batch)."""
-        try:
-            rows = (self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
-                    .groupBy("batch").agg(F.max("seq").alias("seq")).collect())
-        except Exception as e:  # no manifest yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return []
-            raise
-        return [r["batch"] for r in sorted(rows, key=lambda r: r["seq"])]
-
-    def _commit(self, batch: str, seq: int) -> None:
-        (self.spark.createDataFrame([(seq, batch)], _MANIFEST)
+        """Committed batch ids, oldest first."""
+        return [r["batch"] for r in self._manifest()]
+
+    def _commit(self, batch: str, attempt: str, rows: dict[str, int]) -> None:
+        seq = max([r["last"]["seq"] for r in self._manifest()], default=0) + 1
+        (self.spark.createDataFrame([(seq, batch, attempt, rows)], _MANIFEST)
          .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
 
     # -- data ---------------------------------------------------------------
     def _full_schema(self) -> StructType:
         return StructType(list(self.schema.fields) + [
-            StructField("batch", StringType()), StructField("kind", StringType())])
+            StructField("batch", StringType()), StructField("attempt", StringType()),
+            StructField("kind", StringType())])
 
     def empty(self) -> DataFrame:
         return empty_frame(self.spark, self.schema)
@@ -60,24 +69,21 @@ class BatchTable:
     def read_parts(self, parts: dict[str, list[str]]) -> DataFrame:
         """Rows of part ``kind`` from exactly the listed batches.
 
-        Only the folders of those batches and parts are listed (a brace glob
-        under ``basePath``), so reading the latest active part never lists
-        the history of earlier batches. A part with no folder (no rows) is
-        skipped; the partition filter keeps the read exact.
+        Only the committed folders of those batches and parts are listed, so reading the latest active part
+        never lists the history of earlier batches. A part without rows has no
+        folder and is skipped; the partition filter keeps the read exact.
         """
         frames = []
+        last = {r["batch"]: r for r in self._manifest()}
         for kind, batches in parts.items():
-            if not batches:
+            full = [b for b in batches if (last[b]["rows"] or {}).get(kind)]
+            if not full:
                 continue
-            pattern = f"{self.root}/batch={{{','.join(batches)}}}/kind={kind}"
-            try:
-                df = (self.spark.read.schema(self._full_schema())
-                      .option("basePath", self.root).parquet(pattern))
-            except Exception as e:  # no batch has rows in this part
-                if "PATH_NOT_FOUND" in str(e):
-                    continue
-                raise
-            frames.append(df.where((F.col("kind") == kind) & F.col("batch").isin(batches)))
+            attempts = [last[b]["last"]["attempt"] for b in full]
+            df = (self.spark.read.schema(self._full_schema()).option("basePath", self.root)
+                  .parquet(*[f"{self.root}/batch={b}/attempt={a}/kind={kind}"
+                             for b, a in zip(full, attempts)]))
+            frames.append(df.where((F.col("kind") == kind) & F.col("batch").isin(full)))
         if not frames:
             return self.empty()
         out = frames[0]
@@ -93,15 +99,12 @@ class BatchTable:
                              "re-running it would rewrite history")
         return [b for b in done if b != batch]
 
-    def write_batch(self, batch: str, parts: dict[str, DataFrame] | DataFrame,
-                    committed: list[str] | None = None) -> None:
+    def write_batch(self, batch: str, parts: dict[str, DataFrame] | DataFrame) -> None:
         """Write every part of one batch in a single job, then commit.
 
         ``parts`` maps part name -> rows, or is one frame whose ``kind``
         column names the part of each row.
         """
-        done = [b for b in (self.committed() if committed is None else committed)
-                if b != batch]
         if isinstance(parts, DataFrame):
             out = parts.select(*self.schema.fieldNames(), "kind")
         else:
@@ -110,143 +113,9 @@ class BatchTable:
             out = frames[0]
             for f in frames[1:]:
                 out = out.unionByName(f)
-        (out.write.mode("overwrite").partitionBy("kind")
-         .parquet(f"{self.root}/batch={batch}"))
-        self._commit(batch, len(done) + 1)
-
-
-_RANGED_MANIFEST = StructType([
-    StructField("seq", LongType()), StructField("batch", StringType()),
-    StructField("width", LongType()), StructField("ranges", ArrayType(LongType()))])
-NULL_KEY_RANGE = -1
-
-
-class RangeTable(BatchTable):
-    """An SCD2 table whose active part is partitioned by key range.
-
-    Layout: ``batch=<id>/kind=active/range=<r>/`` and
-    ``batch=<id>/kind=history/range=__HIVE_DEFAULT_PARTITION__/``. A batch
-    rewrites only the ranges its source keys fall in, and its manifest row
-    lists them. The active set is, per range, the rows of the latest batch
-    that wrote that range, so a day's merge costs what the touched ranges
-    hold, not the whole table. Integer keys are cut into ranges of a width
-    fixed at the first load (monotone keys such as new orders land in the
-    newest ranges); other keys are hashed into a fixed number of ranges.
-    NULL keys, which never match, share one range.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, key: str,
-                 n_ranges: int):
-        super().__init__(spark, root, schema)
-        self.key, self.n_ranges = key, n_ranges
-        self.hashed = not isinstance(schema[key].dataType, LongType)
-
-    # -- manifest ---------------------------------------------------------
-    def manifest(self) -> list:
-        try:
-            rows = self.spark.read.schema(_RANGED_MANIFEST).json(f"{self.root}/_manifest") \
-                .collect()
-        except Exception as e:  # no manifest yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return []
-            raise
-        last = {}
-        for r in sorted(rows, key=lambda r: r["seq"]):
-            last[r["batch"]] = r
-        return sorted(last.values(), key=lambda r: r["seq"])
-
-    def committed(self) -> list[str]:
-        return [r["batch"] for r in self.manifest()]
-
-    def width_for(self, batches: list[str], source: DataFrame) -> int:
-        """The range width: fixed by the first load, from its key span."""
-        rows = [r for r in self.manifest() if r["batch"] in batches and r["width"]]
-        if rows:
-            return int(rows[0]["width"])
-        if self.hashed:
-            return 1
-        lo, hi = source.agg(F.min(self.key), F.max(self.key)).first()
-        if lo is None:
-            return 1
-        return max(1, -(-(int(hi) - int(lo) + 1) // self.n_ranges))
-
-    def range_of(self, width: int) -> Column:
-        k = F.col(self.key)
-        r = (F.pmod(F.xxhash64(k), F.lit(self.n_ranges)) if self.hashed
-             else F.floor(k / F.lit(width)))
-        return F.when(k.isNull(), F.lit(NULL_KEY_RANGE)).otherwise(r).cast("bigint")
-
-    def ranges_in(self, df: DataFrame, width: int) -> list[int]:
-        """Distinct ranges of ``df``'s keys (a small set of ids)."""
-        return sorted(r[0] for r in df.select(self.range_of(width).alias("r")).distinct()
-                      .collect())
-
-    def owners(self, batches: list[str]) -> dict[int, str]:
-        owner: dict[int, str] = {}
-        for row in self.manifest():
-            if row["batch"] in batches:
-                for r in row["ranges"] or []:
-                    owner[int(r)] = row["batch"]
-        return owner
-
-    # -- data ---------------------------------------------------------------
-    def _full_schema(self) -> StructType:
-        return StructType(list(super()._full_schema().fields)
-                          + [StructField("range", LongType())])
-
-    def read_active(self, batches: list[str], ranges: list[int] | None = None) -> DataFrame:
-        """Current active rows (as of ``batches``), optionally of some ranges."""
-        owner = self.owners(batches)
-        if ranges is not None:
-            wanted = set(ranges)
-            owner = {r: b for r, b in owner.items() if r in wanted}
-        by_batch: dict[str, list[int]] = {}
-        for r, b in owner.items():
-            by_batch.setdefault(b, []).append(r)
-        frames = []
-        for b, rs in sorted(by_batch.items()):
-            pattern = (f"{self.root}/batch={b}/kind=active/"
-                       f"range={{{','.join(str(r) for r in sorted(rs))}}}")
-            try:
-                df = (self.spark.read.schema(self._full_schema())
-                      .option("basePath", self.root).parquet(pattern))
-            except Exception as e:  # every listed range became empty
-                if "PATH_NOT_FOUND" in str(e):
-                    continue
-                raise
-            frames.append(df.where((F.col("batch") == b) & (F.col("kind") == "active")
-                                   & F.col("range").isin(rs)))
-        if not frames:
-            return self.empty()
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.select(*self.schema.fieldNames())
-
-    def read(self, kinds: dict[str, str] | None = None) -> DataFrame:
-        done = self.committed()
-        kinds = kinds or {"history": "all", "active": "latest"}
-        parts = []
-        if "history" in kinds:
-            parts.append(self.read_parts({"history": done}))
-        if "active" in kinds:
-            parts.append(self.read_active(done))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def write_ranged(self, batch: str, tagged: DataFrame, width: int, ranges: list[int],
-                     committed: list[str]) -> None:
-        """Write history + the touched ranges' active rows, then commit."""
-        done = [b for b in committed if b != batch]
-        out = tagged.select(*self.schema.fieldNames(), "kind").withColumn(
-            "range", F.when(F.col("kind") == "active", self.range_of(width)))
-        # Range-partition the rows first so that each task writes one or two
-        # range folders (a big range is split across tasks by key), instead
-        # of every task writing a small file into every range.
-        out = out.repartitionByRange("kind", "range", self.key)
-        (out.write.mode("overwrite").partitionBy("kind", "range")
-         .parquet(f"{self.root}/batch={batch}"))
-        (self.spark.createDataFrame([(len(done) + 1, batch, width, ranges)], _RANGED_MANIFEST)
-         .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
+        attempt = uuid.uuid4().hex[:12]
+        path = f"{self.root}/batch={batch}/attempt={attempt}"
+        out.write.partitionBy("kind").parquet(path)
+        counts = self.spark.read.schema(StructType([StructField("kind", StringType())])) \
+            .parquet(path).groupBy("kind").count().collect()
+        self._commit(batch, attempt, {r["kind"]: r["count"] for r in counts})

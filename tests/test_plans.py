@@ -28,27 +28,6 @@ def executed(df) -> str:
     return buf.getvalue()
 
 
-def test_merge_rewrites_only_the_key_ranges_it_touches(spark, tmp_root):
-    """Keys 1 and 2 load into ranges 1 and 2; batch 2 (keys 1 and 3) rewrites
-    ranges 1 and 3 only, and range 2 stays in batch 1's folder. Order 1
-    changed, so it is only expired (the gap): range 1 has no active rows."""
-    import re
-    store = SilverStore(spark, tmp_root, key_ranges=16)
-    rows = [(1, 10, "1", 5.0, "1"), (2, 11, "1", 6.0, "1")]
-    store.merge("orders", spark.createDataFrame(rows, BRONZE["orders"]), "1", T1)
-    rows2 = [(1, 10, "1", 7.0, "2"), (3, 12, "1", 1.0, "2")]
-    store.merge("orders", spark.createDataFrame(rows2, BRONZE["orders"]), "2", T2)
-    active = store.table("orders").read({"active": "latest"})
-    parts = {re.search(r"batch=(\w+)/kind=active/range=(-?\d+)/", f).groups()
-             for f in active.inputFiles()}
-    assert parts == {("1", "2"), ("2", "3")}
-    history = store.table("orders").read({"history": "all"}).inputFiles()
-    assert history and all("/kind=history/" in f for f in history)
-    assert "PartitionFilters: [" in executed(active)
-    assert sorted(r.order_id for r in active.collect()) == [2, 3]
-    assert store.table("orders").owners(["1", "2"]) == {1: "2", 2: "1", 3: "2"}
-
-
 def test_mart_scans_are_pruned_and_filtered(spark, tmp_root):
     store = SilverStore(spark, tmp_root)
     from tests import seed

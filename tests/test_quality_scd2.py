@@ -71,8 +71,8 @@ def test_distinct_flagged_collapses_repeats(spark):
 
 # --- SCD2 merge --------------------------------------------------------------------
 
-def merge_runs(spark, tmp_root, table, batches, key_ranges=None, **kw):
-    store = SilverStore(spark, tmp_root, key_ranges)
+def merge_runs(spark, tmp_root, table, batches, **kw):
+    store = SilverStore(spark, tmp_root)
     for i, (rows, now) in enumerate(batches, 1):
         store.merge(table, frame(spark, table, rows), str(i), now, **kw)
     return store.read(table)
@@ -83,14 +83,12 @@ def state(df, key):
                    r.effective_start_date, r.effective_end_date) for r in df.collect())
 
 
-@pytest.mark.parametrize("key_ranges", [None, 2])
-def test_new_same_changed_and_gap(spark, tmp_root, key_ranges):
+def test_new_same_changed_and_gap(spark, tmp_root):
     b1 = [(1, "a", "a@x", "1"), (2, "b", "b@x", "1")]
     b2 = [(1, "a", "a@x", "1"),            # same -> nothing
           (2, "b", "b2@x", "2"),           # changed -> expired only (gap)
           (3, "c", "c@x", "2")]            # new -> inserted
-    out = merge_runs(spark, tmp_root, "customers", [(b1, T1), (b2, T2), (b2, T3)],
-                     key_ranges)
+    out = merge_runs(spark, tmp_root, "customers", [(b1, T1), (b2, T2), (b2, T3)])
     rows = state(out, "customer_id")
     assert rows == [
         (1, "a@x", True, T1, None),
@@ -159,11 +157,10 @@ def test_history_never_changes(spark, tmp_root):
     assert set(hist) <= set(hist_after)
 
 
-@pytest.mark.parametrize("key_ranges", [None, 2])
-def test_rerun_of_a_batch_is_idempotent(spark, tmp_root, key_ranges):
+def test_rerun_of_a_batch_is_idempotent(spark, tmp_root):
     b1 = [(1, "a", "a@x", "1"), (2, "b", "b@x", "1")]
     b2 = [(2, "b", "b2@x", "2"), (3, "c", "c@x", "2")]
-    store = SilverStore(spark, tmp_root, key_ranges)
+    store = SilverStore(spark, tmp_root)
     store.merge("customers", frame(spark, "customers", b1), "1", T1)
     store.merge("customers", frame(spark, "customers", b2), "2", T2)
     first = sorted(map(tuple, store.read("customers").collect()))
@@ -189,3 +186,30 @@ def test_tables_exist_typed_and_empty_before_any_load(spark, tmp_root):
         df = store.read(t)
         assert df.schema.fieldNames() == silver_schema(t).fieldNames()
         assert df.count() == 0
+
+
+def test_a_rerun_refresh_is_the_latest_and_a_failed_one_changes_nothing(spark, tmp_root):
+    from strata.sinks.tables import BatchTable
+    from pyspark.sql import functions as F
+    t = BatchTable(spark, tmp_root, spark.range(1).schema)
+    for batch, n in (("1", 1), ("2", 2), ("3", 3), ("3", 5)):
+        t.write_batch(batch, {"data": spark.range(n)})
+    assert t.committed() == ["1", "2", "3"] and t.read().count() == 5
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        t.write_batch("3", {"data": broken})
+    assert t.read().count() == 5
+    t.write_batch("1", {"data": spark.range(7)})
+    assert t.committed() == ["2", "3", "1"] and t.read().count() == 7
+    with pytest.raises(ValueError):
+        t.previous_for("2")
+
+
+def test_a_lost_committed_folder_is_an_error(spark, tmp_root):
+    import shutil
+    from strata.sinks.tables import BatchTable
+    t = BatchTable(spark, tmp_root, spark.range(1).schema)
+    t.write_batch("1", {"data": spark.range(3)})
+    shutil.rmtree(f"{tmp_root}/batch=1")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        t.read().count()
