@@ -473,7 +473,7 @@ def test_simple8b_round_trip():
     from strata.llm.tokens import pack, unpack
     rng = np.random.default_rng(9)
     for ids in (np.zeros(0), np.zeros(1000), np.ones(77), rng.integers(0, 50_000, 9001), rng.integers(0, 4, 5000),
-                np.concatenate([np.zeros(500), [2 ** 60 - 1, 2 ** 60, 2 ** 64 - 1, 15 << 60], rng.integers(0, 9, 99)])):
+                [0] * 500 + [2 ** 60 - 1, 2 ** 60, 2 ** 64 - 1, 15 << 60] + rng.integers(0, 9, 99).tolist()):
         ids = np.array([int(x) for x in ids], np.uint64)
         for block in (64, 4096):
             w, o = pack(ids, block)
