@@ -1,7 +1,7 @@
 """Column expressions shared by the operators.
 
 All of them are built-in Spark expressions, so they stay inside whole-stage
-codegen. Money is handled as integer cents so that sums are exact and
+codegen. Money is handled as decimals so that sums are exact and
 independent of the order in which partitions are combined.
 """
 
@@ -44,18 +44,15 @@ def epoch_millis(c: str | Column, dtype: DataType | None = None) -> Column:
                             c.cast(TimestampNTZType()))
 
 
-def cents(c: str | Column) -> Column:
-    """A FLOAT64 money amount as exact integer cents."""
-    return F.round(col_(c) * 100).cast("bigint")
+def line_amount(price: str | Column, quantity: str | Column) -> Column:
+    """``price * quantity`` as an exact decimal (prices keep six digits after
+    the point, nothing is rounded to cents); NULL when either side is NULL."""
+    return col_(price).cast("decimal(18,6)") * col_(quantity).cast("decimal(18,0)")
 
 
-def from_cents(c: str | Column) -> Column:
-    return col_(c).cast("double") / 100
-
-
-def line_cents(price: str | Column, quantity: str | Column) -> Column:
-    """``price * quantity`` in cents; NULL when either side is NULL."""
-    return cents(price) * col_(quantity)
+def scaled(amount: Column, times: Column) -> Column:
+    """An exact amount, so many times over, as DOUBLE."""
+    return (amount * times).cast("double")
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:

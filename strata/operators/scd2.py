@@ -149,35 +149,33 @@ def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
     if fixed:
         fresh = s.join(t, keys & ~_change(spec, null_safe=True), "left_anti")
     else:
-        # Only the keys of the active rows matter here. Reducing them to
-        # distinct keys first (map-side partial aggregate) keeps a key that
-        # holds a third of the target from landing in one join task.
-        active_keys = active.select(*spec.keys).distinct().alias("t")
-        fresh = s.join(active_keys, _key_match(spec.keys, False), "left_anti")
-    flag_col = F.col("is_quarantined") if spec.insert_flag else F.lit(None).cast("boolean")
-    inserted = fresh.select(
-        *[F.col(c) for c in cols if c not in ("is_quarantined", "effective_start_date",
-                                               "effective_end_date", "is_active")],
-        flag_col.alias("is_quarantined"),
-        now_lit.alias("effective_start_date"),
-        F.lit(None).cast(TimestampNTZType()).alias("effective_end_date"),
-        F.lit(True).alias("is_active")).select(cols)
+        fresh = _unknown_keys(active, source, spec)
+    inserted = _as_inserted(fresh, spec, now, cols)
     return MergeResult(expired=expired, current=kept.unionByName(inserted))
 
 
-def _inserted(active: DataFrame, source: DataFrame, spec: MergeSpec,
-              now: dt.datetime) -> DataFrame:
-    """Source rows whose key has no active row (reference semantics)."""
-    cols = active.columns
-    active_keys = active.select(*spec.keys).distinct().alias("t")
-    fresh = source.alias("s").join(active_keys, _key_match(spec.keys, False), "left_anti")
-    now_lit = ntz_lit(now)
+def _unknown_keys(active: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Source rows whose key has no active row (reference semantics).
+
+    Rows with a NULL key match nothing, so they pass by the join: a third of
+    the source under NULL would otherwise meet in one task. Only the keys of
+    the active rows matter, and as distinct keys (combined in the map tasks) a
+    hot key of the target is one row.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.keys])
+    active_keys = active.select(*spec.keys).where(known).distinct().alias("t")
+    keyed = source.where(known).alias("s").join(active_keys, _key_match(spec.keys, False), "left_anti")
+    return source.where(~known).unionByName(keyed)
+
+
+def _as_inserted(fresh: DataFrame, spec: MergeSpec, now: dt.datetime, cols: list[str]) -> DataFrame:
+    """Source rows as new active rows of the target."""
     flag_col = F.col("is_quarantined") if spec.insert_flag else F.lit(None).cast("boolean")
     return fresh.select(
         *[F.col(c) for c in cols if c not in ("is_quarantined", "effective_start_date",
                                                "effective_end_date", "is_active")],
         flag_col.alias("is_quarantined"),
-        now_lit.alias("effective_start_date"),
+        ntz_lit(now).alias("effective_start_date"),
         F.lit(None).cast(TimestampNTZType()).alias("effective_end_date"),
         F.lit(True).alias("is_active")).select(cols)
 
@@ -204,7 +202,7 @@ def _one_pass(active: DataFrame, source: DataFrame, spec: MergeSpec,
     out["effective_end_date"] = F.when(hit, end).otherwise(_t("effective_end_date"))
     classified = j.select(*[out[c].alias(c) for c in cols],
                           F.when(hit, F.lit("history")).otherwise(F.lit("active")).alias("kind"))
-    inserted = _inserted(active, source, spec, now)
+    inserted = _as_inserted(_unknown_keys(active, source, spec), spec, now, cols)
     tagged = classified.unionByName(inserted.withColumn("kind", F.lit("active")))
     return MergeResult(
         expired=classified.where(F.col("kind") == "history").drop("kind"),

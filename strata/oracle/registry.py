@@ -129,10 +129,15 @@ def _pipeline_log() -> str:
 
 
 def _latest_watermark() -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT '{r[2]}' AS tablename, '{INGEST_CLOCK_2:%Y-%m-%d %H:%M:%S}' AS latest_timestamp"
-        for r in CONTROL_ROWS)
-    return f"SELECT * FROM ({rows}) t"
+    names = [r[2] for r in CONTROL_ROWS]
+    listed = ", ".join(f"({i}, '{t}')" for i, t in enumerate(names))
+    return f"""
+WITH control(i, tablename) AS (VALUES {listed}),
+loads AS (SELECT o_custkey % {len(names) - 1} AS i,
+                 CAST(o_orderdate AS TIMESTAMP) + to_milliseconds(max(o_orderkey % 1000)) AS loaded
+          FROM orders GROUP BY o_custkey % {len(names) - 1}, o_orderdate)
+SELECT tablename, coalesce(CAST(max(loaded) AS VARCHAR), '1900-01-01 00:00:00') AS latest_timestamp
+FROM control LEFT JOIN loads USING (i) GROUP BY tablename"""
 
 
 def _ingest_full_load() -> str:

@@ -9,8 +9,8 @@ counts order lines, and product performance multiplies items by reviews.
 Fan-out joins are never materialised. Each many-side is aggregated to the
 join grain first (a hash aggregate with a map-side partial step, so a hot
 key is reduced inside each map task), and the multiplication the direct
-join would cause is applied to the aggregates. Money is summed as integer
-cents, so sums are exact and the result does not depend on partitioning.
+join would cause is applied to the aggregates. Money is summed as decimals,
+so sums are exact and the result does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import (
     days_between,
-    from_cents,
-    line_cents,
+    line_amount,
     millis_text_to_date,
     ratio,
+    scaled,
 )
 from strata.operators.joins import left_join_hot_right
 
@@ -34,31 +34,45 @@ from strata.operators.joins import left_join_hot_right
 DEFAULT_AS_OF = dt.date(2025, 1, 1)
 
 
-
-
 def _items(silver: dict[str, DataFrame]) -> DataFrame:
     return silver["order_items"].select(
         "order_id", "product_id", "quantity", "price",
-        line_cents("price", "quantity").alias("line_cents"))
+        line_amount("price", "quantity").alias("amount"))
+
+
+def _counted(df: DataFrame, n: str) -> DataFrame:
+    """Distinct rows and how often each occurs. Joins over such tables need no
+    final group-by: their output rows are already the groups, and sums are
+    multiplied by the counts."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(n))
 
 
 def sales_summary(silver: dict[str, DataFrame]) -> DataFrame:
-    """G1: per order time (exact millis) x product, over active orders."""
+    """G1: per order time (exact millis) x product, over active orders.
+
+    Lines are reduced to (order time, product, customer) and then to (order
+    time, product) before they meet the product rows, so customers are counted
+    without a distinct, and the product join's inputs are plain shuffles that
+    adaptive execution can split for a hot product.
+    """
     o = silver["orders"].where(F.col("is_active") == F.lit(True)).select(
         "order_id", "order_date", "customer_id")
-    oi = _items(silver)
-    p = silver["products"].select("product_id", F.col("name").alias("product_name"),
-                                  "category_id")
-    c = silver["categories"].select(F.col("category_id").alias("c_id"),
-                                    F.col("name").alias("category_name"))
-    j = (o.join(oi, "order_id")
-         .join(p, "product_id")
-         .join(c, F.col("category_id") == F.col("c_id")))
-    return (j.groupBy("order_date", "category_id", "category_name", "product_id",
-                      "product_name")
-            .agg(F.sum("quantity").alias("total_units_sold"),
-                 from_cents(F.sum("line_cents")).alias("total_sales"),
-                 F.count_distinct("customer_id").alias("unique_customers")))
+    p = _counted(silver["products"].select("product_id", F.col("name").alias("product_name"),
+                                           "category_id"), "n_p")
+    c = _counted(silver["categories"].select(F.col("category_id").alias("c_id"),
+                                             F.col("name").alias("category_name")), "n_c")
+    sold = (o.join(_items(silver), "order_id")
+            .groupBy("order_date", "product_id", "customer_id")
+            .agg(F.sum("quantity").alias("units"), F.sum("amount").alias("amount"))
+            .groupBy("order_date", "product_id")
+            .agg(F.sum("units").alias("units"), F.sum("amount").alias("amount"),
+                 F.count("customer_id").alias("unique_customers")))
+    shelf = p.join(c, F.col("category_id") == F.col("c_id"))
+    times = F.col("n_p") * F.col("n_c")
+    return sold.join(shelf, "product_id").select(
+        "order_date", "category_id", "category_name", "product_id", "product_name",
+        (F.col("units") * times).alias("total_units_sold"),
+        scaled(F.col("amount"), times).alias("total_sales"), "unique_customers")
 
 
 def customer_engagement(silver: dict[str, DataFrame],
@@ -73,8 +87,8 @@ def customer_engagement(silver: dict[str, DataFrame],
     """
     per_order = (_items(silver).groupBy("order_id")
                  .agg(F.count(F.lit(1)).alias("n_lines"),
-                      F.sum("line_cents").alias("cents"),
-                      F.count("line_cents").alias("n_values")))
+                      F.sum("amount").alias("amount"),
+                      F.count("amount").alias("n_values")))
     o = silver["orders"].select("order_id", "customer_id", "order_date")
     rows_per_order = F.when(F.col("order_id").isNotNull(),
                             F.greatest(F.coalesce("n_lines", F.lit(0)), F.lit(1)))
@@ -83,18 +97,18 @@ def customer_engagement(silver: dict[str, DataFrame],
                            days_between(as_of, millis_text_to_date("order_date")))
                .groupBy("customer_id", "days_since_last_order")
                .agg(F.sum(rows_per_order).alias("o_rows"),
-                    F.sum("cents").alias("o_cents"),
+                    F.sum("amount").alias("o_amount"),
                     F.sum("n_values").alias("o_values"),
                     F.max("order_date").alias("o_last")))
     c = silver["customers"].where(F.col("is_active") == F.lit(True)).select(
         "customer_id", F.col("name").alias("customer_name"))
     j = c.join(per_day, "customer_id", "left")
-    total_cents = F.sum("o_cents")
+    total = F.sum("o_amount")
     return (j.groupBy("customer_id", "customer_name", "days_since_last_order")
             .agg(F.coalesce(F.sum("o_rows"), F.lit(0)).alias("total_orders"),
-                 from_cents(total_cents).alias("total_spent"),
+                 total.cast("double").alias("total_spent"),
                  F.max("o_last").alias("last_order_date"),
-                 (ratio(total_cents, F.sum("o_values")) / 100).alias("avg_order_value"))
+                 ratio(total, F.sum("o_values")).alias("avg_order_value"))
             .select("customer_id", "customer_name", "total_orders", "total_spent",
                     "last_order_date", "days_since_last_order", "avg_order_value"))
 
@@ -113,7 +127,7 @@ def _reviews_per_product(silver: dict[str, DataFrame]) -> DataFrame:
 def _items_per_product(silver: dict[str, DataFrame]) -> DataFrame:
     return (_items(silver).groupBy("product_id")
             .agg(F.sum("quantity").alias("i_units"),
-                 F.sum("line_cents").alias("i_cents"),
+                 F.sum("amount").alias("i_amount"),
                  F.count(F.lit(1)).alias("i_rows")))
 
 
@@ -122,55 +136,69 @@ def product_performance(silver: dict[str, DataFrame]) -> DataFrame:
 
     The direct form joins items and reviews to every product row, so each
     sum is inflated by the other side's row count. Here both sides are
-    first reduced to product grain and the inflation is applied to the
-    aggregates: units = sum(q * reviews), revenue = sum(v * reviews),
-    avg = sum(r * items) / sum(n * items), reviews = sum(t * items), where
-    a side without rows counts as one (the outer join's NULL row).
+    first reduced to product grain and joined to the products, one row each;
+    the mappings come after that. The inflation is applied to the aggregates:
+    units = sum(q) * reviews, revenue = sum(v) * reviews, reviews = sum(t) *
+    items, all times the number of equal dimension rows; a side without rows
+    counts as one (the outer join's NULL row). It cancels in the average.
+    Products of counts are decimals, so only a result beyond BIGINT overflows.
     """
-    p = silver["products"].where(F.col("is_quarantined") == F.lit(False)).select(
-        "product_id", F.col("name").alias("product_name"), "category_id")
-    c = silver["categories"].select(F.col("category_id").alias("c_id"),
-                                    F.col("name").alias("category_name"))
-    ps = silver["product_suppliers"].select("product_id", "supplier_id")
-    s = silver["suppliers"].select(F.col("supplier_id").alias("s_id"), "supplier_name")
-
-    dims = p.join(c, F.col("category_id") == F.col("c_id"), "left").drop("c_id")
-    dims = left_join_hot_right(dims, ps, "product_id")
-    dims = dims.join(s, F.col("supplier_id") == F.col("s_id"), "left").drop("s_id")
-    j = (dims.join(_items_per_product(silver), "product_id", "left")
-         .join(_reviews_per_product(silver), "product_id", "left"))
-    rev_mult = F.coalesce("r_rows", F.lit(1))
-    item_mult = F.coalesce("i_rows", F.lit(1))
-    return (j.groupBy("product_id", "product_name", "category_id", "category_name",
-                      "supplier_id", "supplier_name")
-            .agg(F.sum(F.col("i_units") * rev_mult).alias("total_units_sold"),
-                 from_cents(F.sum(F.col("i_cents") * rev_mult)).alias("total_revenue"),
-                 ratio(F.sum(F.col("r_sum") * item_mult),
-                       F.sum(F.col("r_n") * item_mult)).alias("avg_rating"),
-                 F.coalesce(F.sum(F.col("r_text") * item_mult), F.lit(0))
-                 .alias("total_reviews")))
+    p = _counted(silver["products"].where(F.col("is_quarantined") == F.lit(False)).select(
+        "product_id", F.col("name").alias("product_name"), "category_id"), "n_p")
+    c = _counted(silver["categories"].select(F.col("category_id").alias("c_id"),
+                                             F.col("name").alias("category_name")), "n_c")
+    ps = _counted(silver["product_suppliers"].select("product_id", "supplier_id"), "n_ps")
+    s = _counted(silver["suppliers"].select(F.col("supplier_id").alias("s_id"), "supplier_name"),
+                 "n_s")
+
+    facts = (p.join(_items_per_product(silver), "product_id", "left")
+             .join(_reviews_per_product(silver), "product_id", "left")
+             .join(c, F.col("category_id") == F.col("c_id"), "left"))
+    j = left_join_hot_right(facts, ps, "product_id")
+    j = j.join(s, F.col("supplier_id") == F.col("s_id"), "left")
+    one = F.lit(1)
+    times = F.col("n_p").cast("decimal(38,0)")
+    for n in ("n_c", "n_ps", "n_s"):
+        times = times * F.coalesce(F.col(n), one)
+    by_reviews = times * F.coalesce("r_rows", one)
+    by_items = times * F.coalesce("i_rows", one)
+    return j.select(
+        "product_id", "product_name", "category_id", "category_name", "supplier_id",
+        "supplier_name",
+        (F.col("i_units") * by_reviews).cast("bigint").alias("total_units_sold"),
+        scaled(F.col("i_amount"), by_reviews).alias("total_revenue"),
+        ratio("r_sum", "r_n").alias("avg_rating"),
+        F.coalesce((F.col("r_text") * by_items).cast("bigint"), F.lit(0)).alias("total_reviews"))
+
+
+#: Copies of a product's totals, over which its mappings are dealt by supplier.
+SALT = 16
 
 
 def supplier_analysis(silver: dict[str, DataFrame]) -> DataFrame:
     """G4: per supplier; every supplier of a product gets all its sales.
 
-    Mappings are joined to per-product item totals and reduced to supplier
-    grain before meeting the supplier rows, so the outer join sees one row
-    per supplier however many products it maps.
+    Distinct mappings are dealt over SALT copies of the per-product totals, so
+    a product with a third of all mappings is joined by many tasks, and are
+    then reduced to supplier grain, combined in the map tasks.
     """
-    ps = silver["product_suppliers"].select("supplier_id", "product_id")
-    per_supplier = (ps.join(_items_per_product(silver), "product_id", "left")
+    ps = _counted(silver["product_suppliers"].select("supplier_id", "product_id"), "n_ps") \
+        .withColumn("salt", F.pmod(F.xxhash64("supplier_id"), F.lit(SALT)).cast("int"))
+    totals = _items_per_product(silver).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    n = F.col("n_ps")
+    per_supplier = (ps.join(totals, ["product_id", "salt"], "left")
                     .groupBy("supplier_id")
-                    .agg(F.count_distinct("product_id").alias("n_products"),
-                         F.sum("i_units").alias("units"),
-                         F.sum("i_cents").alias("cents")))
-    s = silver["suppliers"].where(F.col("is_quarantined") == F.lit(False)).select(
-        "supplier_id", "supplier_name")
-    j = s.join(per_supplier, "supplier_id", "left")
-    return (j.groupBy("supplier_id", "supplier_name")
-            .agg(F.coalesce(F.max("n_products"), F.lit(0)).alias("total_products_supplied"),
-                 F.sum("units").alias("total_units_sold"),
-                 from_cents(F.sum("cents")).alias("total_revenue")))
+                    .agg(F.count("product_id").alias("n_products"),
+                         F.sum(F.col("i_units") * n).alias("units"),
+                         F.sum(F.col("i_amount") * n).alias("amount")))
+    s = _counted(silver["suppliers"].where(F.col("is_quarantined") == F.lit(False)).select(
+        "supplier_id", "supplier_name"), "n_s")
+    return s.join(per_supplier, "supplier_id", "left").select(
+        "supplier_id", "supplier_name",
+        F.coalesce("n_products", F.lit(0)).alias("total_products_supplied"),
+        (F.col("units") * F.col("n_s")).alias("total_units_sold"),
+        scaled(F.col("amount"), F.col("n_s")).alias("total_revenue"))
 
 
 def customer_reviews_summary(silver: dict[str, DataFrame]) -> DataFrame:

@@ -94,14 +94,15 @@ def watermarks(audit: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """Latest ``load_timestamp`` per table name, as text, with the default.
 
     ``tables`` (a ``tablename`` column) keeps tables never loaded, which get
-    the 1900 default, like the original lookup.
+    the 1900 default, like the original lookup. Fractions of a second stay:
+    a watermark cut to whole seconds would offer rows twice.
     """
     latest = audit.groupBy("tablename").agg(F.max("load_timestamp").alias("ts"))
     if tables is not None:
         latest = tables.select("tablename").distinct().join(latest, "tablename", "left")
     return latest.select(
         "tablename",
-        F.coalesce(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(DEFAULT_WATERMARK))
+        F.coalesce(F.col("ts").cast("string"), F.lit(DEFAULT_WATERMARK))
         .alias("latest_timestamp"))
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from strata.functions.columns import from_cents, line_cents
+from strata.functions.columns import line_amount
 from strata.plans import gold
 from strata.queries import Inputs
 from tests.conftest import SF_SMALL
@@ -80,7 +80,7 @@ def direct_product_performance(silver):
                       F.col("ps.supplier_id").alias("supplier_id"),
                       F.col("s.supplier_name").alias("supplier_name"))
             .agg(F.sum("oi.quantity").alias("total_units_sold"),
-                 from_cents(F.sum(line_cents("oi.price", "oi.quantity"))).alias("total_revenue"),
+                 F.sum(line_amount("oi.price", "oi.quantity")).cast("double").alias("total_revenue"),
                  (F.sum("cr.rating") / F.count("cr.rating")).alias("avg_rating"),
                  F.count("cr.review_text").alias("total_reviews")))
 
