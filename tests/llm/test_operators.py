@@ -438,6 +438,38 @@ def test_chain_is_best():
         assert math.isclose(got, max(best.values()))
 
 
+def test_an_exact_passage_among_shared_short_lines_is_found(spark):
+    from strata.llm.passages import repeated_passages
+    rng = random.Random(5)
+    text = lambda n: ["q%d" % rng.randrange(10 ** 7) for _ in range(n)]
+    exact, form = text(55), [text(12) for _ in range(8)]
+
+    def page():
+        sides = [sum((f + text(10) for f in form[:4]), []), sum((text(10) + f for f in form[4:]), [])]
+        return len(sides[0]), " ".join(sides[0] + exact + sides[1])
+
+    (_, a), (at, b) = page(), page()
+    got = repeated_passages(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
+    assert len(got) == 1 and got[0].doc_id == 2 and got[0].start_word <= at and got[0].end_word >= at + 55
+
+
+def test_parts_are_longest():
+    from strata.llm.passages import parts
+    rng = random.Random(8)
+    for _ in range(60):
+        pairs, x, y = [], 0, 0
+        for _ in range(rng.randrange(40, 160)):
+            if rng.random() < 0.25:
+                x, y = x + rng.randrange(4), y + rng.randrange(4)
+            pairs.append((x, y))
+            x, y = x + 1, y + 1
+        fits = [pairs[j][0] + 1 - pairs[i][0] for i in range(len(pairs)) for j in range(i, len(pairs))
+                if pairs[j][0] + 1 - pairs[i][0] >= 50
+                and j + 1 - i >= 0.75 * max(pairs[j][0] + 1 - pairs[i][0], pairs[j][1] + 1 - pairs[i][1])]
+        got = parts(np.array(pairs))
+        assert max((e - s for s, e, *_ in got), default=0) == max(fits, default=0)
+
+
 # --- 9: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["small", "hard"])
