@@ -22,7 +22,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.lm import scored
-    return scored(table(spark, sf_dir, "documents"))
+    return scored(table(spark, sf_dir, "documents"), min_count=1)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -164,6 +164,43 @@ def test_lm_beats_its_base_on_held_out_texts(small):
     assert r[1] > r[0]
 
 
+def test_lm_query_knows_what_training_holds_once(spark, tmp_path):
+    from strata.llm.queries import op3_lm_scoring
+    trained = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    rng = random.Random(3)
+    held = next(i for i in range(100) if not trained(i))
+    ids = [i for i in range(100) if trained(i)][:20]
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40))) for i in ids]
+    rows.append((held, rows[7][1]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = [collections.Counter() for _ in range(3)]
+    for i, t in rows[:-1]:
+        for n in range(3):
+            counts[n].update(zip(*[(t.split() + [""])[k:] for k in range(n + 1)]))
+    kinds = [collections.Counter(g[:-1] for g in c) for c in counts]
+    sums = [collections.Counter() for _ in range(3)]
+    for n in (1, 2):
+        for g, c in counts[n].items():
+            sums[n][g[:-1]] += c
+    total = sum(counts[0].values())
+
+    def score(ws):
+        out = 0.0
+        for i in range(len(ws)):
+            p = (counts[0][(ws[i],)] + 1) / (total + len(counts[0]) + 1)
+            for n in (1, 2):
+                h = tuple(ws[i - n:i])
+                if i >= n and sums[n][h]:
+                    c, k = counts[n - 1][h], kinds[n][h]
+                    p = max(counts[n][(*h, ws[i])] - 0.75, 0) / c + (1 - (sums[n][h] - 0.75 * k) / c) * p
+            out += math.log10(p)
+        return out
+
+    got = {r.doc_id: r.score for r in op3_lm_scoring(spark, str(tmp_path)).collect()}
+    for i, t in rows:
+        assert abs(got[i] - score(t.split() + [""])) < 3e-4 * 41
+
+
 def test_lm_empty(none):
     from strata.llm.lm import scored
     assert scored(none).collect() == []
