@@ -507,6 +507,27 @@ def test_parts_are_longest():
         assert max((e - s for s, e, *_ in got), default=0) == max(fits, default=0)
 
 
+def test_passages_of_frequent_sentences_equal_brute_force(spark):
+    from strata.llm.passages import repeated_passages
+    rng = random.Random(6)
+    sentences = [["q%d" % rng.randrange(10 ** 7) for _ in range(rng.randrange(18, 30))] for _ in range(8)]
+    texts = [s + ["own%d.%d" % (i, k) for k in range(40)] for i, s in enumerate(sentences)]  # each alone, first
+    for i in range(120):
+        texts.append(sum((rng.choice(sentences) for _ in range(rng.randrange(2, 5))), []) + [f"end{i}"] * 3)
+    rows = repeated_passages(spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    seen, missed, wanted = set(), 0, 0
+    for i, t in enumerate(texts):
+        windows = [tuple(t[k:k + 50]) for k in range(len(t) - 49)]
+        spans = [(r.start_word, r.end_word) for r in rows if r.doc_id == i]
+        for k in (k for k, w in enumerate(windows) if w in seen):
+            wanted += 1
+            missed += not all(any(s <= p < e for s, e in spans) for p in range(k, k + 50))
+        seen.update(windows)
+    assert wanted > 100
+    assert missed == 0
+
+
 # --- 9: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["small", "hard"])
