@@ -528,6 +528,44 @@ def test_passages_of_frequent_sentences_equal_brute_force(spark):
     assert missed == 0
 
 
+def passage_between(a, b):
+    """Passages of two word lists, by the operator's steps without the joins."""
+    from strata.llm.passages import Seeder, align, group_chains, parts, runs_of
+    first, x, y, n = {}, [], [], []
+    for s, p, _ in zip(*Seeder().seeds(" ".join(a))):
+        first.setdefault(s, p)
+    for s, p, k in zip(*Seeder().seeds(" ".join(b))):
+        if s in first:
+            x, y, n = x + [p], y + [first[s]], n + [k]
+    if not x:
+        return []
+    _, *runs = runs_of(np.zeros(len(x), int), np.array(x), np.array(y), np.array(n))
+    return [p for c in group_chains(*(r.tolist() for r in runs)) for p in parts(align(b, a, c))]
+
+
+@pytest.mark.parametrize("n, every", [(64, 4), (60, 5), (60, 6)])
+def test_passages_with_every_nth_word_replaced(n, every):
+    rng = random.Random(n + every)
+    text = lambda n: ["q%d" % rng.randrange(10 ** 7) for _ in range(n)]
+    p = text(n)
+    q = [w if (i + 1) % every else text(1)[0] for i, w in enumerate(p)]
+    assert passage_between(text(80) + p + text(80), text(80) + q + text(80))
+
+
+def test_passages_with_replaced_words_at_random():
+    rng = random.Random(1)
+    text = lambda n: ["q%d" % rng.randrange(10 ** 7) for _ in range(n)]
+    for share in (0.75, 0.8, 0.85, 0.9):
+        found = 0
+        for _ in range(100):
+            p = text(60)
+            q, at = list(p), rng.sample(range(1, 59), round(60 * (1 - share)))
+            for i in at:
+                q[i] = text(1)[0]
+            found += bool(passage_between(text(80) + p + text(80), text(80) + q + text(80)))
+        assert found >= 95
+
+
 # --- 9: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["small", "hard"])
