@@ -52,15 +52,15 @@ def template(text: str | None) -> tuple[list[str], list[str]]:
 
     A name is a capitalised word that begins neither a sentence nor a line.
     """
-    words = (text or "").replace("\n", " \n ").split(" ")
+    words = re.sub(r"[\x09\x0B-\x0D]", " ", text or "").replace("\n", " \n ").split(" ")
     out, slots, begins = [], [], True
     for w in words:
         if "\n" in w:
             begins = True
             continue
-        bare = w.strip(OUTER + "\t\r\x0b\x0c")
+        bare = w.strip(OUTER)
         if not bare:
-            begins = begins or w[-1:] in ".!?"
+            begins = begins or (w != "" and w[-1] in ".!?")
             continue
         low = bare.lower()
         if NUMBER.fullmatch(bare) or low in NUMBER_WORDS:

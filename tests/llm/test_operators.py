@@ -258,6 +258,13 @@ def test_slots():
     assert seen == {"anna": "carla", "3": "4"}
 
 
+def test_templates_part_words_at_all_white_space():
+    from strata.llm.decontaminate import template
+    text = "The train leaves Paris with 12 boxes of 3 kg each"
+    for gap in ["\t", "\x0b", "\x0c", "\r", " \t "]:
+        assert template(text.replace(" ", gap)) == template(text)
+
+
 def test_leaks_equal_brute_force(spark):
     from strata.llm.queries import op4_decontamination
     sf = "/root/testdata/sf0.001"
