@@ -62,6 +62,21 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.secrets import secret_report
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sentencepiece": op2_sentencepiece,
@@ -73,6 +88,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_token_output": op10_token_output,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 
@@ -99,4 +117,33 @@ def _url_sql() -> str:
     FROM parts"""
 
 
-SQL: dict[str, str] = {"op5_url_filter": _url_sql()}
+def _search_sql(k: int = 10) -> str:
+    """The score term by term, over all documents that hold a term of an item."""
+    def found(column):
+        lowered = f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+    WITH held AS (
+      SELECT row_number() OVER () AS r, doc_id, {found('text')} AS ts FROM documents),
+    sized AS (SELECT r, doc_id, ts, len(ts)::BIGINT AS n FROM held WHERE len(ts) > 0),
+    total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sized),
+    items AS (SELECT row_number() OVER () AS i, item_id, {found('text')} AS ts
+              FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    asked AS (SELECT i, item_id, t, count(*)::BIGINT AS times
+              FROM (SELECT i, item_id, unnest(ts) AS t FROM items) GROUP BY i, item_id, t),
+    posted AS (SELECT r, doc_id, n, t, count(*)::BIGINT AS tf
+               FROM (SELECT r, doc_id, n, unnest(ts) AS t FROM sized)
+               WHERE t IN (SELECT t FROM asked) GROUP BY r, doc_id, n, t),
+    weights AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                FROM posted, total GROUP BY t),
+    gains AS (SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS gain
+              FROM posted JOIN weights USING (t), total),
+    scores AS (SELECT i, item_id, r, doc_id, sum(times * gain)::BIGINT AS score
+               FROM asked JOIN gains USING (t) GROUP BY i, item_id, r, doc_id),
+    ranked AS (SELECT item_id, doc_id, score, row_number() OVER (
+                 PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+               FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {k}"""
+
+
+SQL: dict[str, str] = {"op5_url_filter": _url_sql(), "op13_ranked_search": _search_sql()}
