@@ -5,9 +5,9 @@ join form below. Per *target row* (not per key):
 
     active   = target rows with is_active = TRUE   (the rest is history, untouched)
     M        = keys equal AND <change predicate>
-    expired  = active LEFT SEMI source ON M  -> is_active = FALSE, end = now
-    kept     = active LEFT ANTI source ON M
-    inserted = source LEFT ANTI active ON keys    (NULL keys never match)
+    expired  = active rows that M holds for with some source row -> is_active = FALSE, end = now
+    kept     = the other active rows
+    inserted = source rows whose key has no active row    (NULL keys never match)
 
 ``semantics="reference"`` reproduces the original statements exactly: a
 changed row is only expired (its new version arrives on a later run that
@@ -17,9 +17,9 @@ every run, and the product-supplier merge matches on supplier alone, tests
 ``semantics="corrected"`` inserts the new version in the same pass, uses
 ``IS DISTINCT FROM`` and NULL-safe keys, and takes the full pair key.
 
-Every step is an equi-join on the key columns, so Spark shuffles both sides
-on the key (or broadcasts the source when AQE finds it small); the semi and
-anti joins over the same inputs reuse one exchange per side.
+With at most one source row a key, one outer join decides everything
+(``_one_pass``). Otherwise target and source rows of a key are never paired:
+``hit_counts`` joins counts of the source with the target.
 """
 
 from __future__ import annotations
@@ -77,15 +77,24 @@ def corrected(spec: MergeSpec) -> MergeSpec:
 @dataclass
 class MergeResult:
     expired: DataFrame      # target rows closed by this run
-    current: DataFrame      # kept + inserted: the next active set
-    tagged: DataFrame | None = None   # both, with a "kind" column (one-pass plan)
-
-    def parts(self) -> DataFrame:
-        """All output rows with ``kind`` = "history" (expired) or "active"."""
-        if self.tagged is not None:
-            return self.tagged
-        return (self.expired.withColumn("kind", F.lit("history"))
-                .unionByName(self.current.withColumn("kind", F.lit("active"))))
+    kept: DataFrame         # active rows that stay as they are
+    inserted: DataFrame     # new active rows
+    one_plan: DataFrame | None = None   # expired and inserted in one plan, with a "kind"
+    hits: DataFrame | None = None       # expired rows with their number of hits, where counted
+
+    @property
+    def current(self) -> DataFrame:
+        """The next active set."""
+        return self.kept.unionByName(self.inserted)
+
+    def changes(self) -> DataFrame:
+        """What the merge adds: rows with ``kind`` = "history" (expired) or "active",
+        and ``n_hits``, the number of source rows that expired the row."""
+        if self.one_plan is not None:
+            return self.one_plan.withColumn("n_hits", F.lit(1).cast("long"))
+        return (self.hits.withColumn("kind", F.lit("history"))
+                .unionByName(self.inserted.select("*", F.lit(0).cast("long").alias("n_hits"),
+                                                  F.lit("active").alias("kind"))))
 
 
 def merge_source(bronze: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -132,26 +141,104 @@ def scd2_merge(active: DataFrame, source: DataFrame, spec: MergeSpec,
     if fixed:
         spec = corrected(spec)
     cols = active.columns
-    t, s = active.alias("t"), source.alias("s")
-    keys = _key_match(spec.keys, null_safe=fixed)
-    hit = keys & _change(spec, null_safe=fixed)
-
-    now_lit = ntz_lit(now)
-    end = now_lit if spec.end_on_expire == "now" else F.lit(None).cast(TimestampNTZType())
-    expired = (t.join(s, hit, "left_semi")
-               .withColumn("is_active", F.lit(False))
-               .withColumn("effective_end_date", end)
-               .select(cols))
-    kept = t.join(s, hit, "left_anti").select(cols)
-
+    counted = hit_counts(active, source, spec, null_safe=fixed)
+    hits = _as_expired(counted.where("n_hits > 0"), spec, now, cols)
+    kept = counted.where("n_hits = 0").select(cols)
     # Reference: insert only keys with no active row. Corrected: also the new
     # version of every changed row (no active row that is equal to it).
     if fixed:
-        fresh = s.join(t, keys & ~_change(spec, null_safe=True), "left_anti")
+        t, s = active.alias("t"), source.alias("s")
+        same = _key_match(spec.keys, True) & ~_change(spec, null_safe=True)
+        fresh = s.join(t, same, "left_anti")
     else:
         fresh = _unknown_keys(active, source, spec)
-    inserted = _as_inserted(fresh, spec, now, cols)
-    return MergeResult(expired=expired, current=kept.unionByName(inserted))
+    return MergeResult(hits.select(cols), kept, _as_inserted(fresh, spec, now, cols), hits=hits)
+
+
+def _known(keys: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def _null_mask(cols: tuple[str, ...]) -> Column:
+    """Bit i is set where column i is NULL."""
+    bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0))
+
+
+def _bits(mask: int, cols: tuple[str, ...]) -> list[str]:
+    return [c for i, c in enumerate(cols) if mask >> i & 1]
+
+
+def hit_counts(active: DataFrame, source: DataFrame, spec: MergeSpec,
+               null_safe: bool = False) -> DataFrame:
+    """The active rows with ``n_hits``: how many source rows M holds for.
+
+    A source row of the key is *no* hit if every ``changed`` column is equal
+    or NULL on one side, and no ``unchanged`` column is equal. Such rows are
+    counted, not paired: the source is counted by key and the values of the
+    columns that are non-NULL on both sides, one count for each pattern of
+    NULLs that occurs (a handful, read from the data), and ``unchanged``
+    columns enter by inclusion and exclusion. Distinct target values look
+    their counts up, at most one row a count, so a key with a thousand rows on
+    both sides costs a few thousand rows and not a million.
+    """
+    keys, changed, unchanged = spec.keys, spec.changed, spec.unchanged
+    values = [*keys, *changed, *unchanged]
+    if null_safe:
+        src, tgt = source, active
+    else:
+        src, tgt = source.where(_known(keys)), active.where(_known(keys))
+    n_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"))
+    if null_safe:
+        # IS DISTINCT FROM: a row that is no hit is equal in every column.
+        alike = src.groupBy(*values).agg(F.count(F.lit(1)).alias("_n_alike"))
+    else:
+        full = (1 << len(changed)) - 1
+        masks = lambda df: sorted(r[0] for r in df.select(_null_mask(changed)).distinct().collect())
+        in_source, in_target = masks(src), masks(tgt)
+        subsets = range(1 << len(unchanged))
+        # (NULLs of the source row, columns that must be equal, unchanged columns that are)
+        terms = sorted({(ps, full & ~(ps | pt), w) for ps in in_source for pt in in_target for w in subsets})
+        known = lambda w: reduce(lambda a, b: a & b, [F.col(u).isNotNull() for u in _bits(w, unchanged)], F.lit(True))
+        term = lambda ps, k, w: F.struct(F.lit(ps).alias("ps"), k.alias("k"), F.lit(w).alias("w"))
+        listed = lambda xs: F.explode(F.filter(F.array(*xs), lambda x: x.isNotNull())).alias("_t")
+        none = F.lit(None).cast("struct<ps:int,k:int,w:int>")
+        rows = src.groupBy(*values).agg(F.count(F.lit(1)).alias("_n"))
+        pattern = _null_mask(changed)
+        of_source = [F.when((pattern == ps) & known(w), term(ps, F.lit(k), w)) for ps, k, w in terms] or [none]
+        of_target = [F.when(known(w), term(ps, F.lit(full & ~ps).bitwiseAND(F.lit(full) - pattern), w))
+                     for ps in in_source for w in subsets] or [none]
+
+        def spread(df: DataFrame, xs: list[Column], more: list[str]) -> DataFrame:
+            out = df.select(*values, *more, listed(xs))
+            bit = lambda name, i: F.col(f"_t.{name}").bitwiseAND(1 << i) != 0
+            asked = [F.when(bit("k", i), F.col(c)).alias(f"_c{i}") for i, c in enumerate(changed)]
+            asked += [F.when(bit("w", i), F.col(u)).alias(f"_u{i}") for i, u in enumerate(unchanged)]
+            return out.select(*values, *more, "_t", *asked)
+
+        looked = [f"_c{i}" for i in range(len(changed))] + [f"_u{i}" for i in range(len(unchanged))]
+        counts = spread(rows, of_source, ["_n"]).groupBy(*keys, "_t", *looked).agg(F.sum("_n").alias("_n"))
+        asks = spread(tgt.select(*values).distinct(), of_target, [])
+        a, c = asks.alias("a"), counts.alias("c")
+        on = [F.col(f"a.{x}") == F.col(f"c.{x}") for x in (*keys, "_t")]
+        on += [F.col(f"a.{x}").eqNullSafe(F.col(f"c.{x}")) for x in looked]
+        sign = reduce(lambda x, y: x * y, [F.when(F.col("a._t.w").bitwiseAND(1 << i) != 0, -1).otherwise(1)
+                                           for i in range(len(unchanged))], F.lit(1))
+        alike = a.join(c, reduce(lambda x, y: x & y, on)).groupBy(*[F.col(f"a.{v}") for v in values]) \
+            .agg(F.sum(sign * F.col("c._n")).alias("_n_alike"))
+    t, k, x = active.alias("t"), n_key.alias("k"), alike.alias("x")
+    on_key = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) if null_safe else F.col(f"t.{c}") == F.col(f"k.{c}")
+              for c in keys]
+    on_all = [F.col(f"t.{c}").eqNullSafe(F.col(f"x.{c}")) for c in values]
+    n = F.coalesce("k._n_key", F.lit(0)) - F.coalesce("x._n_alike", F.lit(0))
+    return t.join(k, reduce(lambda p, q: p & q, on_key), "left") \
+        .join(x, reduce(lambda p, q: p & q, on_all), "left").select("t.*", n.alias("n_hits"))
+
+
+def _as_expired(counted: DataFrame, spec: MergeSpec, now: dt.datetime, cols: list[str]) -> DataFrame:
+    end = ntz_lit(now) if spec.end_on_expire == "now" else F.lit(None).cast(TimestampNTZType())
+    return counted.withColumn("is_active", F.lit(False)).withColumn("effective_end_date", end) \
+        .select(*cols, F.col("n_hits").cast("long").alias("n_hits"))
 
 
 def _unknown_keys(active: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -162,7 +249,7 @@ def _unknown_keys(active: DataFrame, source: DataFrame, spec: MergeSpec) -> Data
     the active rows matter, and as distinct keys (combined in the map tasks) a
     hot key of the target is one row.
     """
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.keys])
+    known = _known(spec.keys)
     active_keys = active.select(*spec.keys).where(known).distinct().alias("t")
     keyed = source.where(known).alias("s").join(active_keys, _key_match(spec.keys, False), "left_anti")
     return source.where(~known).unionByName(keyed)
@@ -182,45 +269,38 @@ def _as_inserted(fresh: DataFrame, spec: MergeSpec, now: dt.datetime, cols: list
 
 def _one_pass(active: DataFrame, source: DataFrame, spec: MergeSpec,
               now: dt.datetime) -> MergeResult:
-    """Expire/keep in one left join when each key has at most one source row.
+    """Expired and new rows in one outer join when each key has one source row.
 
-    Every active row meets at most one source row, so ``active LEFT JOIN
-    source ON keys`` keeps the active rows one-to-one and the change
-    predicate decides per row. The active side is the preserved side, so
-    adaptive execution can split a hot key of the target; the source side
-    has one row per key.
+    Every active row meets at most one source row, and a source row that meets
+    none is new. Only keys that are NULL pass by the join. The active side
+    keeps its own partitioning when it is stored by the key, and rows that
+    stay as they are leave no trace in the output.
     """
-    cols = active.columns
-    probe = source.select(*spec.keys, *spec.changed, *spec.unchanged) \
-        .withColumn("_matched", F.lit(True)).alias("s")
-    j = active.alias("t").join(probe, _key_match(spec.keys, False), "left")
-    hit = F.coalesce(F.col("s._matched") & _change(spec, False), F.lit(False))
-    end = (ntz_lit(now) if spec.end_on_expire == "now"
-           else F.lit(None).cast(TimestampNTZType()))
-    out = {c: _t(c) for c in cols}
-    out["is_active"] = F.when(hit, F.lit(False)).otherwise(_t("is_active"))
-    out["effective_end_date"] = F.when(hit, end).otherwise(_t("effective_end_date"))
-    classified = j.select(*[out[c].alias(c) for c in cols],
-                          F.when(hit, F.lit("history")).otherwise(F.lit("active")).alias("kind"))
-    inserted = _as_inserted(_unknown_keys(active, source, spec), spec, now, cols)
-    tagged = classified.unionByName(inserted.withColumn("kind", F.lit("active")))
+    cols, known = active.columns, _known(spec.keys)
+    keyed = source.where(known)
+    given = lambda c: F.col(f"s.{c}")
+    j = active.where(known).withColumn("_t", F.lit(True)).alias("t").join(
+        keyed.withColumn("_s", F.lit(True)).alias("s"), _key_match(spec.keys, False), "full_outer")
+    hit = F.coalesce(F.col("_t") & F.col("_s") & _change(spec, False), F.lit(False))
+    new = F.col("_t").isNull()
+    end = ntz_lit(now) if spec.end_on_expire == "now" else F.lit(None).cast(TimestampNTZType())
+    nothing = F.lit(None).cast(TimestampNTZType())
+    out = {c: F.when(new, given(c)).otherwise(_t(c)) if c in source.columns else _t(c) for c in cols}
+    if not spec.insert_flag:
+        out["is_quarantined"] = F.when(~new, _t("is_quarantined"))
+    out["effective_start_date"] = F.when(new, ntz_lit(now)).otherwise(_t("effective_start_date"))
+    out["effective_end_date"] = F.when(new, nothing).otherwise(end)
+    out["is_active"] = new
+    changes = j.where(hit | new).select(*[out[c].alias(c) for c in cols],
+                                        F.when(new, "active").otherwise("history").alias("kind"))
+    unkeyed = _as_inserted(source.where(~known), spec, now, cols)
+    kept = active.alias("t").join(keyed.alias("s"), _key_match(spec.keys, False) & _change(spec, False), "left_anti")
     return MergeResult(
-        expired=classified.where(F.col("kind") == "history").drop("kind"),
-        current=classified.where(F.col("kind") == "active").drop("kind").unionByName(inserted),
-        tagged=tagged)
+        expired=changes.where("kind = 'history'").drop("kind"), kept=kept.select(cols),
+        inserted=changes.where("kind = 'active'").drop("kind").unionByName(unkeyed),
+        one_plan=changes.unionByName(unkeyed.withColumn("kind", F.lit("active"))))
 
 
-def multi_match_rows(active: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Target rows that more than one source row would update.
-
-    The original warehouse rejects such a merge; callers raise when this is
-    not empty. Only rows that are hit at all reach the aggregate.
-    """
-    t, s = active.alias("t"), source.alias("s")
-    hit = _key_match(spec.keys, False) & _change(spec, False)
-    pairs = t.join(s, hit, "inner")
-    tcols = [_t(c).alias(f"t_{c}") for c in active.columns]
-    scols = F.struct(*[_s(c) for c in source.columns])
-    return (pairs.groupBy(*tcols)
-            .agg(F.count_distinct(scols).alias("n_source_rows"))
-            .where("n_source_rows > 1"))
+def insert_all(source: DataFrame, spec: MergeSpec, now: dt.datetime, cols: list[str]) -> DataFrame:
+    """The merge into an empty target: every source row is new."""
+    return _as_inserted(source, spec, now, cols)

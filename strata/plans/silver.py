@@ -18,11 +18,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import empty_frame
 from strata.operators.quality import quarantine
-from strata.operators.scd2 import SPECS, merge_source, multi_match_rows, scd2_merge
+from strata.operators.scd2 import SPECS, corrected, insert_all, merge_source, scd2_merge
 from strata.schemas import REFRESH_TABLES, SCD2_TABLES, silver_schema
 from strata.sinks.tables import BatchTable
+from strata.sinks.versions import VersionLog
 
 
 def refresh(bronze: DataFrame, table: str) -> DataFrame:
@@ -33,9 +33,8 @@ def refresh(bronze: DataFrame, table: str) -> DataFrame:
 def first_load(bronze: DataFrame, table: str, now: dt.datetime,
                semantics: str = "reference") -> DataFrame:
     """The SCD2 table after one merge into an empty target."""
-    empty = empty_frame(bronze.sparkSession, silver_schema(table))
-    res = scd2_merge(empty, merge_source(bronze, SPECS[table]), SPECS[table], now, semantics)
-    return res.expired.unionByName(res.current)
+    spec = corrected(SPECS[table]) if semantics == "corrected" else SPECS[table]
+    return insert_all(merge_source(bronze, spec), spec, now, silver_schema(table).fieldNames())
 
 
 def silver_tables(bronze: dict[str, DataFrame], now: dt.datetime) -> dict[str, DataFrame]:
@@ -50,48 +49,49 @@ class MultiMatchError(RuntimeError):
 
 
 class SilverStore:
-    """Written silver tables below ``root``, one ``BatchTable`` each. A batch
-    rewrites an SCD2 table's active part; history is only added to."""
+    """Written silver tables below ``root``: a ``VersionLog`` for each SCD2 table,
+    to which a batch adds what it changes, a ``BatchTable`` for each refreshed one."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def table(self, name: str) -> BatchTable:
-        return BatchTable(self.spark, f"{self.root}/{name}", silver_schema(name))
+        root, schema = f"{self.root}/{name}", silver_schema(name)
+        if name not in SCD2_TABLES:
+            return BatchTable(self.spark, root, schema)
+        spec = SPECS[name]
+        return VersionLog(self.spark, root, schema, spec.corrected_keys or spec.keys, spec.keys)
 
     def read(self, name: str) -> DataFrame:
-        t = self.table(name)
-        if name in SCD2_TABLES:
-            return t.read({"history": "all", "active": "latest"})
-        return t.read({"data": "latest"})
+        return self.table(name).read()
 
     def merge(self, name: str, bronze: DataFrame, batch: str, now: dt.datetime,
               semantics: str = "reference", on_multi_match: str = "error",
               cache_source: bool = True) -> None:
-        """Merge one batch of bronze rows and commit it as batch ``batch``.
+        """Merge one batch of bronze rows and commit what it changes as ``batch``.
 
         When there is a target, the flagged source (a distinct over the
         batch's bronze rows) is persisted for the duration of the merge: the
-        multi-match test and the joins both read it, and the bronze files are parsed once. A lost executor only costs
-        recomputing its cached blocks.
+        test for unique keys and the joins read it, and the bronze files are
+        parsed once. A lost executor only costs recomputing its cached blocks.
         """
-        spec = SPECS[name]
-        tbl = self.table(name)
-        prev = tbl.previous_for(batch)
+        spec, tbl = SPECS[name], self.table(name)
         source = merge_source(bronze, spec)
-        # A first load reads the source once (the empty target folds away);
-        # later merges read it in the checks and the joins.
-        cache_source = cache_source and bool(prev)
+        if not tbl.previous_for(batch):
+            rows = first_load(bronze, name, now, semantics)
+            return tbl.append(batch, rows.withColumn("kind", F.lit("active")))
         if cache_source:
             source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            active = tbl.read_parts({"active": prev[-1:]})
-            unique = bool(prev) and semantics == "reference" and \
-                self._unique_keys(source, spec)
-            if on_multi_match == "error" and semantics == "reference" and prev and not unique:
-                self._check_multi_match(name, active, source, spec)
-            res = scd2_merge(active, source, spec, now, semantics, unique_source_keys=unique)
-            tbl.write_batch(batch, res.parts())
+            unique = semantics == "reference" and self._unique_keys(source, spec)
+            target = tbl.target(batch, unkeyed=semantics == "corrected")
+            res = scd2_merge(target, source, spec, now, semantics, unique_source_keys=unique)
+
+            def check(hits: int) -> None:
+                if hits > 1 and semantics == "reference" and on_multi_match == "error":
+                    raise MultiMatchError(f"{name}: a target row would be updated by several source rows")
+
+            tbl.append(batch, res.changes(), check)
         finally:
             if cache_source:
                 source.unpersist()
@@ -108,21 +108,6 @@ class SilverStore:
             keyed = keyed.where(F.col(k).isNotNull())
         return keyed.groupBy(*spec.keys).count().where("count > 1").isEmpty()
 
-    @staticmethod
-    def _check_multi_match(name: str, active: DataFrame, source: DataFrame, spec) -> None:
-        """Raise if a target row would be updated by several source rows.
-
-        Only a key that occurs more than once in the source can do that, so
-        the exact row-level test runs on those keys alone.
-        """
-        dup_keys = (source.groupBy(*spec.keys).count().where("count > 1")
-                    .drop("count"))
-        src = source.join(dup_keys, list(spec.keys), "left_semi")
-        tgt = active.join(dup_keys, list(spec.keys), "left_semi")
-        if not multi_match_rows(tgt, src, spec).isEmpty():
-            raise MultiMatchError(
-                f"{name}: a target row would be updated by several source rows")
-
     def refresh(self, name: str, bronze: DataFrame, batch: str) -> None:
         tbl = self.table(name)
         tbl.previous_for(batch)  # a late re-run of an older batch is refused, as in a merge

@@ -15,15 +15,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, MapType, StringType, StructField, StructType
 
 from strata.functions.columns import empty_frame
 
 _MANIFEST = StructType([
     StructField("seq", LongType()), StructField("batch", StringType()),
-    StructField("attempt", StringType()), StructField("rows", MapType(StringType(), LongType()))])
+    StructField("attempt", StringType()), StructField("rows", MapType(StringType(), LongType())),
+    # of a version log only (``sinks.versions``)
+    StructField("base", BooleanType()), StructField("buckets", LongType()), StructField("loose", StringType())])
 
 
 class BatchTable:
@@ -32,22 +34,24 @@ class BatchTable:
 
     # -- manifest ---------------------------------------------------------
     def _manifest(self) -> list:
-        """The last commit of each batch, oldest first (one small row a batch)."""
+        """The last commit of each batch, oldest first (one small row a commit)."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return []
-        rows = (self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest")
-                .groupBy("batch").agg(F.max(F.struct("seq", "attempt")).alias("last"),
-                                      F.max_by("rows", "seq").alias("rows")).collect())
-        return sorted(rows, key=lambda r: r["last"]["seq"])
+        rows = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest").collect()
+        last = {r["batch"]: r for r in sorted(rows, key=lambda r: r["seq"])}
+        return sorted(last.values(), key=lambda r: r["seq"])
 
     def committed(self) -> list[str]:
         """Committed batch ids, oldest first."""
         return [r["batch"] for r in self._manifest()]
 
-    def _commit(self, batch: str, attempt: str, rows: dict[str, int]) -> None:
-        seq = max([r["last"]["seq"] for r in self._manifest()], default=0) + 1
-        (self.spark.createDataFrame([(seq, batch, attempt, rows)], _MANIFEST)
+    @staticmethod
+    def _next(entries: list) -> int:
+        return max((r["seq"] for r in entries), default=0) + 1
+
+    def _commit(self, entry: Row) -> None:
+        (self.spark.createDataFrame([entry], _MANIFEST)
          .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
 
     # -- data ---------------------------------------------------------------
@@ -61,29 +65,17 @@ class BatchTable:
 
     def read(self, kinds: dict[str, str] | None = None) -> DataFrame:
         """Rows of the given parts; ``kinds`` maps part -> "latest" | "all"."""
-        done = self.committed()
-        kinds = kinds or {"data": "latest"}
-        return self.read_parts({k: (done[-1:] if w == "latest" else done)
-                                for k, w in kinds.items()})
-
-    def read_parts(self, parts: dict[str, list[str]]) -> DataFrame:
-        """Rows of part ``kind`` from exactly the listed batches.
-
-        Only the committed folders of those batches and parts are listed, so reading the latest active part
-        never lists the history of earlier batches. A part without rows has no
-        folder and is skipped; the partition filter keeps the read exact.
-        """
+        done = self._manifest()
         frames = []
-        last = {r["batch"]: r for r in self._manifest()}
-        for kind, batches in parts.items():
-            full = [b for b in batches if (last[b]["rows"] or {}).get(kind)]
+        for kind, which in (kinds or {"data": "latest"}).items():
+            # Only committed folders are listed. A part without rows has no
+            # folder and is skipped; the partition filter keeps the read exact.
+            full = [e for e in (done[-1:] if which == "latest" else done) if (e["rows"] or {}).get(kind)]
             if not full:
                 continue
-            attempts = [last[b]["last"]["attempt"] for b in full]
             df = (self.spark.read.schema(self._full_schema()).option("basePath", self.root)
-                  .parquet(*[f"{self.root}/batch={b}/attempt={a}/kind={kind}"
-                             for b, a in zip(full, attempts)]))
-            frames.append(df.where((F.col("kind") == kind) & F.col("batch").isin(full)))
+                  .parquet(*[f"{self.root}/batch={e['batch']}/attempt={e['attempt']}/kind={kind}" for e in full]))
+            frames.append(df.where((F.col("kind") == kind) & F.col("batch").isin([e["batch"] for e in full])))
         if not frames:
             return self.empty()
         out = frames[0]
@@ -91,13 +83,16 @@ class BatchTable:
             out = out.unionByName(f)
         return out.select(*self.schema.fieldNames())
 
-    def previous_for(self, batch: str) -> list[str]:
-        """Batches a new run of ``batch`` must build on (never itself)."""
-        done = self.committed()
-        if batch in done and done[-1] != batch:
+    @staticmethod
+    def _before(entries: list, batch: str) -> list:
+        """Commits that a new run of ``batch`` builds on (never itself)."""
+        if any(e["batch"] == batch for e in entries[:-1]):
             raise ValueError(f"batch {batch} is committed and not the latest; "
                              "re-running it would rewrite history")
-        return [b for b in done if b != batch]
+        return [e for e in entries if e["batch"] != batch]
+
+    def previous_for(self, batch: str) -> list[str]:
+        return [e["batch"] for e in self._before(self._manifest(), batch)]
 
     def write_batch(self, batch: str, parts: dict[str, DataFrame] | DataFrame) -> None:
         """Write every part of one batch in a single job, then commit.
@@ -118,4 +113,6 @@ class BatchTable:
         out.write.partitionBy("kind").parquet(path)
         counts = self.spark.read.schema(StructType([StructField("kind", StringType())])) \
             .parquet(path).groupBy("kind").count().collect()
-        self._commit(batch, attempt, {r["kind"]: r["count"] for r in counts})
+        rows = {r["kind"]: r["count"] for r in counts}
+        self._commit(Row(seq=self._next(self._manifest()), batch=batch, attempt=attempt, rows=rows,
+                         base=None, buckets=None, loose=None))

@@ -41,15 +41,48 @@ def test_mart_scans_are_pruned_and_filtered(spark, tmp_root):
     plan = executed(df)
     # The active filter reaches the orders scan, and only used columns are read.
     blocks = plan.split("\n\n")
-    orders_scan = [b for b in blocks if "Scan parquet" in b and "/orders/batch=" in b]
+    orders_scan = [b for b in blocks if "Scan parquet" in b and "/orders/log/part=" in b]
     assert orders_scan, plan
     field = lambda name: orders_scan[0].split(name + ":")[1].split("\n")[0]
     assert "EqualTo(is_active,true)" in field("PushedFilters")
-    assert "(kind" in field("PartitionFilters") and "(batch" in field("PartitionFilters")
+    assert "part" in field("PartitionFilters")
     read_schema = field("ReadSchema")
     assert "total_amount" not in read_schema and "order_date" in read_schema
 
 
+def test_a_merge_does_not_shuffle_its_target(spark, tmp_root):
+    """The log is bucketed by the key: neither the join nor the pass that drops
+    closed versions has an Exchange above the target's scan."""
+    from strata.operators.scd2 import SPECS, merge_source, scd2_merge
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table in ("customers", "orders", "order_items", "customer_reviews"):
+            store = SilverStore(spark, f"{tmp_root}/{table}")
+            frame = lambda ids, v: spark.range(*ids).selectExpr(*[
+                f"cast(id as {f.dataType.simpleString()}) {f.name}" if f.name == SPECS[table].keys[0] else
+                f"cast({v} as {f.dataType.simpleString()}) {f.name}" for f in BRONZE[table].fields])
+            store.merge(table, frame((1000,), 1), "1", T1)
+            store.merge(table, frame((10,), 2), "2", T2)
+            target = store.table(table).target("3")
+            assert target.count() == 990
+            res = scd2_merge(target, merge_source(frame((5, 20), 3), SPECS[table]), SPECS[table], T2,
+                             unique_source_keys=True)
+            plan = res.changes()._jdf.queryExecution().executedPlan().toString().split("\n")
+            scans = [i for i, line in enumerate(plan) if "strata_log_" in line]
+            assert scans and "Bucketed: true" in plan[scans[0]]
+            for i in scans:   # walk up to the join by indentation
+                depth = plan[i].index("FileScan")
+                for line in reversed(plan[:i]):
+                    at = len(line) - len(line.lstrip(" :+-"))
+                    if at < depth:
+                        depth = at
+                        if "Join" in line:
+                            break
+                        assert "Exchange" not in line, line
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 keys = st.one_of(st.none(), st.integers(-3, 3))
 amounts = st.one_of(st.none(), st.floats(-5, 5, allow_nan=False))
 texts = st.one_of(st.none(), st.just("x"))
