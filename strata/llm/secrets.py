@@ -50,7 +50,7 @@ MAX_KEY = 1 << 16
 
 #: Access keys, hex and encoded secrets stand in runs of these characters.
 RUN = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/=_.-]{20,}")
-ATOM = re.compile(r"[A-Za-z0-9_-]+")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]++")
 MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,60})-----")
 #: How base64 of the structures begins: a DER sequence, the OpenSSH format, an armour.
 BEGIN64 = re.compile(r"(?<![A-Za-z0-9])(?:M[A-P]|b3BlbnNzaC1r|LS0tLS1CRUdJTi)")
@@ -250,27 +250,29 @@ def json_object(part: str) -> dict | None:
 
 def tokens(run: str) -> list[tuple[int, int, str]]:
     """Signed or encrypted tokens in one run."""
-    out, atoms = [], [(m.start(), m.end()) for m in ATOM.finditer(run)]
-    joined = lambda i: i + 1 < len(atoms) and run[atoms[i][1]:atoms[i + 1][0]] == "."
-    i = 0
-    while i < len(atoms):
-        step, (b, e) = 1, atoms[i]
-        # base64 of an opening brace: e, then one of the last sixteen digits
-        if run[b] == "e" and e - b >= 12 and run[b + 1] in "wxyz0123456789-_" and joined(i) and joined(i + 1):
-            head = json_object(run[b:e])
-            alg = head.get("alg") if head else None
-            if isinstance(alg, str):
-                part = lambda k: run[slice(*atoms[i + k])]  # noqa: E731, B023
-                if "enc" in head and joined(i + 2) and joined(i + 3):
-                    if all(decode64(part(k)) for k in (2, 3, 4)):
-                        out.append((b, atoms[i + 4][1], f"encrypted {alg}"))
-                        step = 5
-                elif alg.lower() != "none" and json_object(part(1)) is not None:
-                    sizes, n = SIGNATURE.get(alg, ()), len(decode64(part(2)) or b"")
+    out = []
+    for m in DOTTED.finditer(run):
+        parts, at, ends = m[0].split("."), m.start(), []
+        for p in parts:
+            ends.append((at, at + len(p)))
+            at += len(p) + 1
+        i = 0
+        while i + 2 < len(parts):
+            part, step = parts[i], 1
+            # base64 of an opening brace: e, then one of the last sixteen digits
+            if len(part) >= 12 and part[0] == "e" and part[1] in "wxyz0123456789-_":
+                head = json_object(part)
+                alg = head.get("alg") if head else None
+                if isinstance(alg, str) and "enc" in head:
+                    if i + 4 < len(parts) and all(decode64(p) for p in parts[i + 2:i + 5]):
+                        step, what = 5, f"encrypted {alg}"
+                elif isinstance(alg, str) and alg.lower() != "none" and json_object(parts[i + 1]) is not None:
+                    sizes, n = SIGNATURE.get(alg, ()), len(decode64(parts[i + 2]) or b"")
                     if n in sizes if sizes else n >= (128 if sizes is None else 1):
-                        out.append((b, atoms[i + 2][1], alg))
-                        step = 3
-        i += step
+                        step, what = 3, alg
+                if step > 1:
+                    out.append((ends[i][0], ends[i + step - 1][1], what))
+            i += step
     return out
 
 
