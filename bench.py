@@ -31,7 +31,7 @@ from strata.conf import AS_OF, DAY1, DAY2, T1, T2  # noqa: E402
 from strata.fixtures.retail import load_star, next_batch, source_tables, to_bronze  # noqa: E402
 from strata.plans import gold  # noqa: E402
 from strata.plans.silver import SilverStore  # noqa: E402
-from strata.schemas import BRONZE, JSON_TABLES, REFRESH_TABLES, SCD2_TABLES  # noqa: E402
+from strata.schemas import JSON_TABLES, REFRESH_TABLES, SCD2_TABLES  # noqa: E402
 from strata.session import build_session, work_dir  # noqa: E402
 from strata.sinks.landing import archive_landing, land_json, land_reviews  # noqa: E402
 from strata.sources.bronze import read_bronze  # noqa: E402
@@ -64,7 +64,7 @@ def main() -> None:
     def land(day, frames):
         for t in JSON_TABLES:
             if t in frames:
-                archive_landing(spark, landing, archive, t, BRONZE[t])
+                archive_landing(spark, landing, archive, t)
                 land_json(frames[t], landing, t, day)
         land_reviews(frames["customer_reviews"], landing, day)
 

@@ -76,6 +76,40 @@ SELECT {c}, '2024' AS year, '01' AS month, '03' AS day, 'orders_03012024.json' A
 FROM n_orders""")
 
 
+def _order_line(broken: str) -> str:
+    line = ("'{\"order_id\":' || order_id || ',\"customer_id\":' || coalesce(CAST(customer_id AS VARCHAR), 'null') || "
+            "',\"note\":\"n' || order_id || '\"}'")
+    return f"CASE WHEN {broken} THEN left({line}, 15) ELSE {line} END"
+
+
+def _archive_lines() -> str:
+    return with_ctes(ADAPTERS, f"""
+SELECT {_order_line('order_id % 10 = 3')} AS line, '2024' AS year, '01' AS month, '02' AS day,
+       'orders_02012024.json' AS file
+FROM b_orders WHERE order_id IS NOT NULL""")
+
+
+def _bronze_rejects() -> str:
+    return with_ctes(ADAPTERS, f"""
+SELECT 'orders_03012024.json' AS file, {_order_line('TRUE')} AS line FROM b_orders WHERE order_id % 10 = 3
+UNION ALL
+SELECT 'orders_03012024.json' AS file,
+       CASE order_id % 3 WHEN 0 THEN '{{"order_id":' || order_id
+            WHEN 1 THEN '{{"order_id":"no ' || order_id || '"}}' ELSE 'order ' || order_id || ' was lost' END AS line
+FROM b_orders WHERE order_id % 10 = 4""")
+
+
+def _restartable_day() -> str:
+    """Silver orders of two unbroken days: all orders, then those past the first clock."""
+    ctes = dict(ADAPTERS)
+    ctes["n_orders"] = ("SELECT * FROM b_orders "
+                        f"WHERE CAST(updated_at AS BIGINT) > {_millis(INGEST_CLOCK_1)}")
+    ctes["m0_orders"] = sql.empty_silver("orders")
+    ctes.update(sql.merge_ctes("orders", "m1_orders", "m0_orders", "b_orders", INGEST_CLOCK_1))
+    ctes.update(sql.merge_ctes("orders", "m2_orders", "m1_orders", "n_orders", INGEST_CLOCK_2))
+    return with_ctes(ctes, "SELECT * FROM m2_orders")
+
+
 _TS_COL = {"customers": "updated_at", "orders": "updated_at", "order_items": "updated_at",
            "product_suppliers": "last_updated", "suppliers": "created_at"}
 
@@ -182,6 +216,9 @@ def oracles() -> dict[str, str]:
         "ingest_reviews": with_ctes(ADAPTERS, f"SELECT {_cols('customer_reviews')} "
                                               "FROM b_customer_reviews"),
         "archive_landing": _archive(),
+        "archive_lines": _archive_lines(),
+        "bronze_rejects": _bronze_rejects(),
+        "restartable_day": _restartable_day(),
         "ingest_full_load": _ingest_full_load(),
         "ingest_incremental": _ingest_incremental(),
         "audit_log": _audit_log(),

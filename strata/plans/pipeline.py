@@ -2,7 +2,7 @@
 
 Layout below a lakehouse root on shared storage::
 
-    landing/  archive/  audit_log/  pipeline_logs/  logs/  silver/<table>/  gold/<mart>/
+    landing/  archive/  rejects/  audit_log/  pipeline_logs/  logs/  silver/<table>/  gold/<mart>/
 
 Only the control rows (a handful) and one watermark value per table reach
 the driver; every data movement is a distributed read or write. Logs are
@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import gold
 from strata.plans.silver import SilverStore
-from strata.schemas import BRONZE, REFRESH_TABLES, SCD2_TABLES
-from strata.sinks.audit import PipelineLog, append_audit, audit_row, read_audit
+from strata.schemas import JSON_TABLES, REFRESH_TABLES, SCD2_TABLES
+from strata.sinks.audit import PipelineLog, append_audit, audit_row, read_audit, reject_row
 from strata.sinks.landing import archive_landing, land_json
 from strata.sinks.tables import BatchTable
-from strata.sources.bronze import read_bronze
+from strata.sources.bronze import read_bronze, read_rejects, write_rejects
 from strata.sources.ingest import Source, extract, latest_watermark
 from strata.sources.reviews import ingest_reviews
 
@@ -42,6 +42,10 @@ class Layout:
     def archive(self) -> str:
         return f"{self.root}/archive"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     @property
     def audit(self) -> str:
         return f"{self.root}/audit_log"
@@ -66,7 +70,7 @@ def ingest_table(spark: SparkSession, layout: Layout, source: Source, row: dict,
                  day: dt.date, now: dt.datetime, log: PipelineLog) -> int:
     """Archive earlier landing files, extract, land, and audit one table."""
     table, load_type, wm_col = row["tablename"], row["loadtype"], row["watermark"]
-    moved = archive_landing(spark, layout.landing, layout.archive, table, BRONZE[table])
+    moved = archive_landing(spark, layout.landing, layout.archive, table)
     log.event("INFO", f"archived {moved} rows of earlier landing files", table)
     wm = None
     if (load_type or "").strip().lower() != "full load":
@@ -99,6 +103,10 @@ def run_silver(spark: SparkSession, layout: Layout, batch: str, now: dt.datetime
                semantics: str = "reference") -> SilverStore:
     store = SilverStore(spark, layout.silver)
     for t in REFRESH_TABLES + SCD2_TABLES:
+        if t in JSON_TABLES:
+            n = write_rejects(read_rejects(spark, layout.landing, t), layout.rejects, t, batch)
+            if n:
+                append_audit(spark, layout.audit, reject_row(spark, t, n, now))
         store.load(t, read_bronze(spark, layout.landing, t), batch, now, semantics)
     return store
 
@@ -129,12 +137,16 @@ def run_gold(spark: SparkSession, layout: Layout, store: SilverStore,
 def run_day(spark: SparkSession, layout: Layout, source: Source, control: list[dict],
             day: dt.date, now: dt.datetime, reviews_path: str | None = None,
             as_of: dt.date | None = None, semantics: str = "reference",
-            if_exists: str = "overwrite") -> dict[str, DataFrame]:
+            if_exists: str = "overwrite", multi_line: bool = False,
+            on_error: str = "raise") -> dict[str, DataFrame]:
+    """One unbroken run. ``multi_line`` reads a reviews feed that is one JSON
+    array; ``on_error="continue"`` goes on with the other tables. A run that can
+    be stopped and repeated is ``plans.restart``."""
     log = PipelineLog(clock=lambda: now)
     try:
-        run_ingest(spark, layout, source, control, day, now, log)
+        run_ingest(spark, layout, source, control, day, now, log, on_error)
         if reviews_path:
-            n = ingest_reviews(spark, reviews_path, layout.landing, day)
+            n = ingest_reviews(spark, reviews_path, layout.landing, day, multi_line)
             log.event("SUCCESS", f"landed {n} review records", "customer_reviews")
         batch = f"{day:%Y%m%d}"
         store = run_silver(spark, layout, batch, now, semantics)

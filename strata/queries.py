@@ -24,13 +24,14 @@ from strata.fixtures.retail import (
 from strata.operators.quality import distinct_flagged, quarantine
 from strata.plans import gold
 from strata.plans.pipeline import Layout, run_ingest
+from strata.plans.restart import RestartableDay
 from strata.plans.silver import SilverStore, silver_tables
 from strata.schemas import BRONZE, JSON_TABLES, PIPELINE_LOG, REFRESH_TABLES, SCD2_TABLES
 from strata.session import work_dir
 from strata.sinks.audit import PipelineLog, append_audit, read_audit
-from strata.sinks.landing import archive_landing, land_json, land_reviews, read_archive, \
-    reviews_file
-from strata.sources.bronze import read_bronze
+from strata.sinks.landing import archive_landing, land_json, land_reviews, landing_file, read_archive, \
+    read_archived_lines, reviews_file
+from strata.sources.bronze import BAD_LINE, read_bronze, read_rejects, write_rejects
 from strata.sources.ingest import FrameSource, extract, latest_watermark, watermarks
 from strata.sources.reviews import ingest_reviews
 
@@ -123,14 +124,77 @@ def archive_landing_query(spark, sf_dir):
     root = work_dir(spark, "archive")
     landing, archive = f"{root}/landing", f"{root}/archive"
     schema = BRONZE["orders"]
-    archive_landing(spark, landing, archive, "orders", schema)
+    archive_landing(spark, landing, archive, "orders")
     land_json(inp.source["orders"], landing, "orders", DAY1)
-    archive_landing(spark, landing, archive, "orders", schema)
+    archive_landing(spark, landing, archive, "orders")
     land_json(next_batch(inp.bronze["orders"], "orders"), landing, "orders", DAY2)
-    archive_landing(spark, landing, archive, "orders", schema)
+    archive_landing(spark, landing, archive, "orders")
     return read_archive(spark, archive, "orders", schema)
 
 
+def _order_lines(orders: DataFrame, broken: str) -> DataFrame:
+    """Orders as JSON lines with a column the schema lacks; lines of orders
+    that ``broken`` holds for stop before their end."""
+    line = "'{\"order_id\":' || order_id || ',\"customer_id\":' || coalesce(cast(customer_id as string), 'null') || " \
+        "',\"note\":\"n' || order_id || '\"}'"
+    return orders.where("order_id IS NOT NULL").select(F.expr(
+        f"CASE WHEN {broken} THEN left({line}, 15) ELSE {line} END").alias("value"))
+
+
+def archive_lines(spark, sf_dir):
+    """Lines archived byte for byte: two landings of one day, with a column
+    beyond the schema and with broken lines."""
+    orders = Inputs(spark, sf_dir).bronze["orders"]
+    root = work_dir(spark, "archive_lines")
+    landing, archive = f"{root}/landing", f"{root}/archive"
+    for half in (0, 1):
+        lines = _order_lines(orders.where(F.col("order_id") % 2 == half), "order_id % 10 = 3")
+        lines.write.text(landing_file(landing, "orders", DAY1))
+        archive_landing(spark, landing, archive, "orders")
+    return read_archived_lines(spark, archive, "orders").withColumnRenamed("value", "line")
+
+
+def bronze_rejects(spark, sf_dir):
+    """Broken lines of a landing, kept as they are beside a typed landing of
+    the same table: cut off, of a wrong type, and no JSON at all."""
+    inp = Inputs(spark, sf_dir)
+    root = work_dir(spark, "bronze_rejects")
+    land_json(inp.source["orders"], root, "orders", DAY1)
+    orders = inp.bronze["orders"].where("order_id IS NOT NULL")
+    bad = F.expr("CASE order_id % 3 WHEN 0 THEN '{\"order_id\":' || order_id "
+                 "WHEN 1 THEN '{\"order_id\":\"no ' || order_id || '\"}' ELSE 'order ' || order_id || ' was lost' END")
+    _order_lines(orders, "order_id % 10 = 3").unionByName(orders.where("order_id % 10 = 4").select(bad.alias("value"))) \
+        .write.text(landing_file(root, "orders", DAY2))
+    write_rejects(read_rejects(spark, root, "orders"), f"{root}/rejects", "orders", "1")
+    return spark.read.schema(BAD_LINE).parquet(f"{root}/rejects/orders/batch=1")
+
+
+def restartable_day(spark, sf_dir):
+    """Silver orders after two days of which the first is stopped three times:
+    after its landing, after a merge was committed, and after its checkpoint."""
+    inp = Inputs(spark, sf_dir)
+    layout = Layout(work_dir(spark, "restartable"))
+    control = [r for r in control_dicts() if r["tablename"] in ("orders", "products")]
+    stops = ["land orders", "commit orders", "merge orders"]
+
+    def step(name):
+        if stops and name == stops[0]:
+            stops.pop(0)
+            raise InterruptedError(name)
+
+    day = RestartableDay(spark, layout, FrameSource(inp.source), control, step)
+    for date, clock in ((DAY1, INGEST_CLOCK_1), (DAY2, INGEST_CLOCK_2)):
+        while True:
+            left = len(stops)
+            try:
+                store = day.ingest(date, clock)
+                break
+            except Exception:
+                if len(stops) == left:  # not one of the planned stops
+                    raise
+    return store.read("orders")
+
+
 # --- ingest -----------------------------------------------------------------------
 
 def ingest_full_load(spark, sf_dir):
@@ -255,6 +319,9 @@ def registry() -> dict[str, Query]:
         "land_reviews": land_reviews_query,
         "ingest_reviews": ingest_reviews_query,
         "archive_landing": archive_landing_query,
+        "archive_lines": archive_lines,
+        "bronze_rejects": bronze_rejects,
+        "restartable_day": restartable_day,
         "ingest_full_load": ingest_full_load,
         "ingest_incremental": ingest_incremental,
         "audit_log": audit_log,

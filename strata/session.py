@@ -56,11 +56,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (unit tests, a bare local session) is a
-    folder of our own chosen and registered.
+    Only in a local session without the setting (unit tests) is a folder of
+    our own chosen and registered: elsewhere executors could not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata import storage
+from strata.functions.columns import empty_frame
 from strata.schemas import AUDIT_LOG, PIPELINE_LOG
 
 
@@ -14,18 +16,19 @@ def audit_row(spark: SparkSession, table: str, load_type: str, count: int,
     return spark.createDataFrame([(table, load_type, count, now, status)], AUDIT_LOG)
 
 
+def reject_row(spark: SparkSession, table: str, count: int, now: dt.datetime) -> DataFrame:
+    """Broken lines, under a name of their own: they move no watermark."""
+    return audit_row(spark, f"{table}_rejects", "rejects", count, now, "REJECTED")
+
+
 def append_audit(spark: SparkSession, path: str, rows: DataFrame) -> None:
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(AUDIT_LOG).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e):
-            from strata.functions.columns import empty_frame
-            return empty_frame(spark, AUDIT_LOG)
-        raise
+    if not storage.exists(spark, path):
+        return empty_frame(spark, AUDIT_LOG)
+    return spark.read.schema(AUDIT_LOG).parquet(path)
 
 
 class PipelineLog:

@@ -4,7 +4,7 @@ Layout (all below one landing root on shared storage)::
 
     <root>/<table>/<table>_<ddMMyyyy>.json/part-*.json     JSON lines (B1)
     <root>/customer_reviews/customer_reviews_<yyyyMMdd>.parquet/  (B2)
-    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/file=<landing file>/  (B3)
+    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/file=<landing file>/part-*.json  (B3)
 
 Every write is a distributed DataFrame write; nothing passes through the
 driver. Timestamps land as epoch-millisecond numbers, which the bronze
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType, TimestampNTZType, TimestampType
 
+from strata import storage
 from strata.functions.columns import empty_frame, epoch_millis
 
 
@@ -59,57 +60,42 @@ def land_reviews(df: DataFrame, root: str, day: dt.date) -> int:
     return int(obs.get["rows"])
 
 
-_FILE_DATE = r"_(\d{2})(\d{2})(\d{4})\.json"
-_FILE_NAME = r"/([^/]*_\d{8}\.json)(/|$)"
-_LANDING_DIR = re.compile(r"^(.*_\d{8}\.json)(/.*)?$")
-_PARTS = StructType([StructField(c, StringType()) for c in ("year", "month", "day", "file")])
+_FILE_DATE = re.compile(r"^(.*)_(\d{2})(\d{2})(\d{4})\.json$")
 
 
 def archive_landing(spark: SparkSession, root: str, archive_root: str, table: str,
-                    schema: StructType) -> int:
-    """Move every landed file of ``table`` into the dated archive.
-
-    The date comes from the file name (``<table>_<ddMMyyyy>.json``). Rows
-    are written to ``<archive>/<table>`` partitioned by year/month/day and
-    file name, then each archived landing file is overwritten with no rows,
-    so later bronze scans of the landing glob no longer see them. Returns
-    the number of archived rows.
+                    keep: str | None = None) -> int:
+    """Move every landed file of ``table`` into the dated archive, byte for byte.
+
+    The date comes from the file name (``<table>_<ddMMyyyy>.json``). Files are
+    renamed, not read and rewritten: extra columns and broken lines stay as
+    they landed, and nothing passes through a task. A second landing of the
+    same day joins the first, as written files have names of their own. Every
+    rename is atomic, so an interrupted archive goes on where it stopped.
+    The landing file named ``keep`` stays. Returns the number of lines moved,
+    which one scan counts.
     """
-    src = f"{root.rstrip('/')}/{table}"
-    try:
-        landed = spark.read.schema(schema).json(f"{src}/*.json")
-    except Exception as e:  # nothing landed yet
-        if "PATH_NOT_FOUND" in str(e):
-            return 0
-        raise
-    # The landed file set comes from the scan's file listing (driver-side
-    # metadata, no job); the rows move in one distributed append.
-    files = sorted({m.group(1) for m in (_LANDING_DIR.match(p) for p in landed.inputFiles())
-                    if m})
-    if not files:
-        return 0
-    path = F.col("_metadata.file_path")
-    dated = landed.select(
-        "*",
-        F.regexp_extract(path, _FILE_DATE, 3).alias("year"),
-        F.regexp_extract(path, _FILE_DATE, 2).alias("month"),
-        F.regexp_extract(path, _FILE_DATE, 1).alias("day"),
-        F.regexp_extract(path, _FILE_NAME, 1).alias("file"))
-    # One archive partition per landing file, replaced (not appended) when
-    # the same file is archived again: a retried or re-run archive step
-    # leaves each archived row exactly once.
-    obs = Observation(f"archive_{table}")
-    (dated.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month", "day", "file")
-     .json(f"{archive_root.rstrip('/')}/{table}"))
-    n = int(obs.get["rows"])
-    for f in files:
-        empty_frame(spark, schema).write.mode("overwrite").json(f)
-    return n
-
-
-def read_archive(spark: SparkSession, archive_root: str, table: str,
-                 schema: StructType) -> DataFrame:
-    full = StructType(list(schema.fields) + list(_PARTS.fields))
-    return spark.read.schema(full).json(f"{archive_root.rstrip('/')}/{table}")
+    landed = [(p, m) for p in storage.matches(spark, f"{root.rstrip('/')}/{table}/*.json")
+              if (m := _FILE_DATE.match(p.rsplit("/", 1)[1])) and p.rsplit("/", 1)[1] != keep]
+    held = [f for p, _ in landed for f in storage.files(spark, p)]
+    lines = spark.read.text(held).where(F.trim("value") != "").count() if held else 0
+    for path, date in landed:
+        name, (_, day, month, year) = path.rsplit("/", 1)[1], date.groups()
+        kept = f"{archive_root.rstrip('/')}/{table}/year={year}/month={month}/day={day}/file={name}"
+        for f in storage.files(spark, path):
+            storage.move(spark, f, f"{kept}/{f.rsplit('/', 1)[1]}")
+        storage.delete(spark, path)
+    return lines
+
+
+def read_archive(spark: SparkSession, archive_root: str, table: str, schema: StructType) -> DataFrame:
+    """Archived rows by ``schema``, with year, month, day and file."""
+    path = f"{archive_root.rstrip('/')}/{table}"
+    full = StructType(list(schema.fields) + [StructField(c, StringType()) for c in ("year", "month", "day", "file")])
+    return spark.read.schema(full).json(path) if storage.exists(spark, path) else empty_frame(spark, full)
+
+
+def read_archived_lines(spark: SparkSession, archive_root: str, table: str) -> DataFrame:
+    """Archived lines as they landed: value, year, month, day, file."""
+    schema = StructType([StructField(c, StringType()) for c in ("value", "year", "month", "day", "file")])
+    return spark.read.schema(schema).text(f"{archive_root.rstrip('/')}/{table}")
