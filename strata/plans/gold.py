@@ -27,7 +27,7 @@ from strata.functions.columns import (
     ratio,
     scaled,
 )
-from strata.operators.joins import left_join_hot_right
+from strata.operators.joins import heavy_keys, left_join_copied, left_join_dealt, left_join_hot_right
 
 # CURRENT_DATE() of the original is a parameter; this default keeps results
 # reproducible.
@@ -171,23 +171,18 @@ def product_performance(silver: dict[str, DataFrame]) -> DataFrame:
         F.coalesce((F.col("r_text") * by_items).cast("bigint"), F.lit(0)).alias("total_reviews"))
 
 
-#: Copies of a product's totals, over which its mappings are dealt by supplier.
-SALT = 16
-
 
 def supplier_analysis(silver: dict[str, DataFrame]) -> DataFrame:
     """G4: per supplier; every supplier of a product gets all its sales.
 
-    Distinct mappings are dealt over SALT copies of the per-product totals, so
-    a product with a third of all mappings is joined by many tasks, and are
-    then reduced to supplier grain, combined in the map tasks.
+    Products with more mappings than a task's share are found first; their
+    distinct mappings are dealt over that many copies of the product's totals.
+    The joined rows are then reduced to supplier grain, combined in the map tasks.
     """
-    ps = _counted(silver["product_suppliers"].select("supplier_id", "product_id"), "n_ps") \
-        .withColumn("salt", F.pmod(F.xxhash64("supplier_id"), F.lit(SALT)).cast("int"))
-    totals = _items_per_product(silver).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    mappings = silver["product_suppliers"].select("supplier_id", "product_id")
+    ps = _counted(mappings, "n_ps")
     n = F.col("n_ps")
-    per_supplier = (ps.join(totals, ["product_id", "salt"], "left")
+    per_supplier = (left_join_copied(ps, _items_per_product(silver), "product_id", heavy_keys(mappings, "product_id"))
                     .groupBy("supplier_id")
                     .agg(F.count("product_id").alias("n_products"),
                          F.sum(F.col("i_units") * n).alias("units"),
@@ -250,10 +245,10 @@ def join_left_chain(silver: dict[str, DataFrame]) -> DataFrame:
     """customers - orders - order_items, both left (G2's join)."""
     c = silver["customers"].where(F.col("is_active") == F.lit(True)).select(
         "customer_id", F.col("name").alias("customer_name"))
-    o = silver["orders"].select(F.col("customer_id").alias("o_customer_id"),
-                                "order_id", "order_date")
+    o = silver["orders"].select("customer_id", "order_id", "order_date")
     oi = silver["order_items"].select(F.col("order_id").alias("oi_order_id"),
                                       "order_item_id", "quantity", "price")
-    return (c.join(o, F.col("customer_id") == F.col("o_customer_id"), "left")
-            .join(oi, F.col("order_id") == F.col("oi_order_id"), "left")
-            .drop("o_customer_id", "oi_order_id"))
+    # A customer with a third of all orders: an outer join cannot split its right side.
+    placed = left_join_dealt(c, o, "customer_id", heavy_keys(o, "customer_id"))
+    return (placed.join(oi, F.col("order_id") == F.col("oi_order_id"), "left")
+            .drop("oi_order_id"))

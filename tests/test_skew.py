@@ -1,0 +1,73 @@
+"""Joins whose hot side an outer join cannot split: measured, dealt, and equal to the plain join."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators.joins import heavy_keys, left_join_copied, left_join_dealt
+
+
+def skewed(spark, n, third):
+    """``n`` rows, a third of them under key 7."""
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000) if third else F.col("id") % 5000
+    return spark.range(n).select(key.cast("long").alias("k"), F.col("id").alias("v"))
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+def test_heavy_keys_follow_the_measured_skew(spark):
+    assert heavy_keys(skewed(spark, 30_000, False), "k", 8) == []
+    ((key, copies),) = heavy_keys(skewed(spark, 30_000, True), "k", 8)
+    assert key == 7 and copies == 6                       # a third of the rows is 16 / 3 half shares of 8
+    ((_, more),) = heavy_keys(skewed(spark, 30_000, True), "k", 64)
+    assert more == 43
+    assert heavy_keys(skewed(spark, 0, True), "k", 8) == []
+    assert heavy_keys(spark.range(100).select(F.lit(None).cast("long").alias("k")), "k", 8) == []
+
+
+@pytest.mark.parametrize("join", [left_join_dealt, left_join_copied])
+def test_dealt_joins_equal_the_plain_one(spark, join):
+    many = skewed(spark, 3000, True).unionByName(spark.createDataFrame([(None, 1), (None, 2), (9999, 3)], "k long, v long"))
+    few = spark.range(0, 6000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")) \
+        .unionByName(spark.createDataFrame([(None, 0), (7, 70), (7, 71)], "k long, w long"))
+    left, right = (few, many) if join is left_join_dealt else (many, few)
+    for heavy in (heavy_keys(many, "k", 16), [(7, 5), (3, 2)] if join is left_join_copied else [(7, 5)], []):
+        assert rows(join(left, right, "k", heavy)) == rows(left.join(right, "k", "left"))
+
+
+def test_text_keys(spark):
+    right = skewed(spark, 900, True).select(F.concat(F.lit("c"), F.col("k").cast("string")).alias("k"), "v")
+    left = spark.createDataFrame([("c7",), ("c1",), ("none",), (None,)], "k string")
+    heavy = heavy_keys(right, "k", 8)
+    assert [k for k, _ in heavy] == ["c7"]
+    assert rows(left_join_dealt(left, right, "k", heavy)) == rows(left.join(right, "k", "left"))
+
+
+def test_no_task_of_the_left_chain_gets_twice_the_median(spark):
+    """A third of all orders on one customer: rows of each join partition."""
+    from strata.plans import gold
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = 24_000
+        orders = skewed(spark, n, True).select(F.col("v").alias("order_id"), F.col("k").alias("customer_id"),
+                                               F.lit("1").alias("order_date"))
+        silver = {
+            "customers": spark.range(5000).select(F.col("id").alias("customer_id"), F.lit("n").alias("name"), F.lit(True).alias("is_active")),
+            "orders": orders,
+            "order_items": spark.range(n).select(F.col("id").alias("order_id"), F.col("id").alias("order_item_id"),
+                                                 F.lit(1).alias("quantity"), F.lit(1.0).alias("price"))}
+        out = gold.join_left_chain(silver)
+        assert out.count() == n
+        placed = left_join_dealt(silver["customers"].select("customer_id"), orders, "customer_id", heavy_keys(orders, "customer_id"))
+        sizes = sorted(r["count"] for r in placed.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+        plain = silver["customers"].select("customer_id").join(orders, "customer_id", "left")
+        sizes = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sizes[-1] > 3 * sizes[4]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
