@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from strata.conf import AS_OF, CONTROL_ROWS, INGEST_CLOCK_1, INGEST_CLOCK_2
+from strata.conf import AS_OF, CONTROL_ROWS, INGEST_CLOCK_1, INGEST_CLOCK_2, T1, T2, T3
 from strata.oracle import sql
 from strata.oracle.sql import ADAPTERS, COLUMNS, REFRESH, SCD2, flag_case, ts, with_ctes
 
@@ -99,6 +99,46 @@ SELECT 'orders_03012024.json' AS file,
 FROM b_orders WHERE order_id % 10 = 4""")
 
 
+def _review_snapshots() -> str:
+    """Three whole snapshots, merged one after the other."""
+    t = "customer_reviews"
+    ctes = dict(ADAPTERS)
+    ctes["n_later"] = sql.next_batch(t)
+    ctes["n_second"] = (f"SELECT {_cols(t)} FROM b_{t} WHERE id NOT IN (SELECT id FROM n_later) "
+                        f"UNION ALL SELECT {_cols(t)} FROM n_later")
+    ctes["n_third"] = "SELECT * FROM n_second WHERE rating IS NOT NULL"
+    ctes[f"m0_{t}"] = sql.empty_silver(t)
+    for i, (src, now) in enumerate(((f"b_{t}", T1), ("n_second", T2), ("n_third", T3)), 1):
+        ctes.update(sql.merge_ctes(t, f"m{i}_{t}", f"m{i - 1}_{t}", src, now))
+    return with_ctes(ctes, f"SELECT * FROM m3_{t}")
+
+
+def _distinct_customers() -> str:
+    return with_ctes(ADAPTERS, """
+SELECT oi.product_id, count(DISTINCT o.customer_id) AS unique_customers
+FROM b_orders o JOIN b_order_items oi ON o.order_id = oi.order_id
+WHERE o.customer_id IS NOT NULL GROUP BY oi.product_id""")
+
+
+_MADE_ONCE = "TRUE AS made, FALSE AS made_again, TRUE AS refused"
+
+
+def _create_table() -> str:
+    return with_ctes(sql.silver_ctes(), f"SELECT *, {_MADE_ONCE} FROM s_orders")
+
+
+def _ctas() -> str:
+    return f"SELECT *, {_MADE_ONCE} FROM ({sql.mart('customer_reviews_summary')}) AS made_of"
+
+
+def _named_silver() -> str:
+    return with_ctes(sql.silver_two_batches_ctes(), """
+SELECT c.customer_id, c.name, c.email, c.is_active, count(r.id) AS reviews,
+       count(CASE WHEN r.is_active THEN 1 END) AS active_reviews
+FROM s_customers c LEFT JOIN s_customer_reviews r ON c.customer_id = r.customer_id
+GROUP BY c.customer_id, c.name, c.email, c.is_active""")
+
+
 def _restartable_day() -> str:
     """Silver orders of two unbroken days: all orders, then those past the first clock."""
     ctes = dict(ADAPTERS)
@@ -218,8 +258,14 @@ def oracles() -> dict[str, str]:
         "archive_landing": _archive(),
         "archive_lines": _archive_lines(),
         "bronze_rejects": _bronze_rejects(),
+        "create_table_if_absent": _create_table(),
+        "ctas_if_absent": _ctas(),
+        "named_silver_tables": _named_silver(),
         "restartable_day": _restartable_day(),
         "ingest_full_load": _ingest_full_load(),
+        "extract_in_parts": with_ctes(ADAPTERS, f"SELECT {_cols('orders')} FROM b_orders"),
+        "scd2_review_snapshots": _review_snapshots(),
+        "distinct_customers_merged": _distinct_customers(),
         "ingest_incremental": _ingest_incremental(),
         "audit_log": _audit_log(),
         "latest_watermark": _latest_watermark(),

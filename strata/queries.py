@@ -16,21 +16,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.conf import (
-    AS_OF, DAY1, DAY2, INGEST_CLOCK_1, INGEST_CLOCK_2, T1, T2, T3, control_dicts,
+    AS_OF, DAY1, DAY2, DAY3, INGEST_CLOCK_1, INGEST_CLOCK_2, T1, T2, T3, control_dicts,
 )
 from strata.fixtures.retail import (
     bronze_tables, load_star, next_batch, source_tables, to_bronze,
 )
+from strata.operators.distinct import distinct_counts, distinct_state, merged
 from strata.operators.quality import distinct_flagged, quarantine
 from strata.plans import gold
 from strata.plans.pipeline import Layout, run_ingest
 from strata.plans.restart import RestartableDay
-from strata.plans.silver import SilverStore, silver_tables
-from strata.schemas import BRONZE, JSON_TABLES, PIPELINE_LOG, REFRESH_TABLES, SCD2_TABLES
+from strata.plans.silver import SilverStore, first_load, silver_tables
+from strata.plans.snapshots import merge_snapshots
+from strata.schemas import BRONZE, JSON_TABLES, PIPELINE_LOG, REFRESH_TABLES, SCD2_TABLES, silver_schema
 from strata.session import work_dir
 from strata.sinks.audit import PipelineLog, append_audit, read_audit
+from strata.sinks.catalog import SchemaMismatch, create_database, create_if_absent, ctas_if_absent, insert, \
+    publish_silver
 from strata.sinks.landing import archive_landing, land_json, land_reviews, landing_file, read_archive, \
     read_archived_lines, reviews_file
+from strata.sources.balanced import equal_depth_predicates
 from strata.sources.bronze import BAD_LINE, read_bronze, read_rejects, write_rejects
 from strata.sources.ingest import FrameSource, extract, latest_watermark, watermarks
 from strata.sources.reviews import ingest_reviews
@@ -216,6 +221,15 @@ def ingest_incremental(spark, sf_dir):
     return to_bronze(df, "orders")
 
 
+def extract_in_parts(spark, sf_dir):
+    """A full load of orders read in equal-depth parts, bounds from the lake's copy
+    (the orders of one customer in seven, as the last load left them)."""
+    inp = Inputs(spark, sf_dir)
+    src = inp.source["orders"]
+    bounds = equal_depth_predicates(src.where(F.col("customer_id") % 7 == 1), "customer_id", 16, then="order_id")
+    return to_bronze(extract(FrameSource(inp.source, {"orders": bounds}), "orders", "Full Load", None, None), "orders")
+
+
 def _two_ingest_days(spark, sf_dir) -> Layout:
     """Two daily ingests of all seven control rows (archive, extract, land,
     audit), each flushing its pipeline log to the log table and a file."""
@@ -267,6 +281,65 @@ def latest_watermark_query(spark, sf_dir):
     return watermarks(read_audit(spark, path), tables)
 
 
+# --- named tables ---------------------------------------------------------------------
+
+def _refused(create) -> bool:
+    try:
+        create()
+    except SchemaMismatch:
+        return True
+    return False
+
+
+def create_table_if_absent(spark, sf_dir):
+    """The typed silver orders table, made once, filled, asked for again (no
+    change) and with other columns (refused)."""
+    orders = Inputs(spark, sf_dir).bronze["orders"]
+    root = work_dir(spark, "create_table")
+    database = f"strata_{root.rsplit('-', 1)[1]}"
+    create_database(spark, database, f"{root}/db")
+    name, schema = f"{database}.orders", silver_schema("orders")
+    made = create_if_absent(spark, name, schema, f"{root}/orders")
+    insert(first_load(orders, "orders", T1), name)
+    again = create_if_absent(spark, name, schema, f"{root}/orders")
+    refused = _refused(lambda: create_if_absent(spark, name, silver_schema("customers"), f"{root}/orders"))
+    return spark.table(name).select("*", *[F.lit(v).alias(c) for c, v in (
+        ("made", made), ("made_again", again), ("refused", refused))])
+
+
+def ctas_if_absent_query(spark, sf_dir):
+    """A mart as a table made once: asked for again over other rows it stays
+    as it is, a mart of other columns is refused."""
+    silver = Inputs(spark, sf_dir).silver
+    root = work_dir(spark, "ctas")
+    database = f"strata_{root.rsplit('-', 1)[1]}"
+    create_database(spark, database, f"{root}/db")
+    name, mart = f"{database}.customer_reviews_summary", gold.customer_reviews_summary(silver)
+    made = ctas_if_absent(mart, name, f"{root}/mart")
+    again = ctas_if_absent(mart.limit(1), name, f"{root}/mart")
+    refused = _refused(lambda: ctas_if_absent(gold.supplier_analysis(silver), name, f"{root}/mart"))
+    return spark.table(name).select("*", *[F.lit(v).alias(c) for c, v in (
+        ("made", made), ("made_again", again), ("refused", refused))])
+
+
+def named_silver_tables(spark, sf_dir):
+    """Silver customers and reviews after two batches, read by name in SQL."""
+    bronze = Inputs(spark, sf_dir).bronze
+    root = work_dir(spark, "named_silver")
+    store = SilverStore(spark, f"{root}/silver")
+    for batch, now in (("1", T1), ("2", T2)):
+        for t in ("customers", "customer_reviews"):
+            store.merge(t, bronze[t] if batch == "1" else next_batch(bronze[t], t), batch, now)
+    database = f"strata_{root.rsplit('-', 1)[1]}"
+    create_database(spark, database, f"{root}/db")
+    publish_silver(store, database)
+    return spark.sql(f"""
+        SELECT c.customer_id, c.name, c.email, c.is_active, count(r.id) AS reviews,
+               count(CASE WHEN r.is_active THEN 1 END) AS active_reviews
+        FROM {database}.customers c LEFT JOIN {database}.customer_reviews r ON c.customer_id = r.customer_id
+        GROUP BY c.customer_id, c.name, c.email, c.is_active""")
+
+
 # --- silver -------------------------------------------------------------------------
 
 def _quarantine(table: str) -> Query:
@@ -292,6 +365,33 @@ def _scd2(table: str) -> Query:
     return run
 
 
+def scd2_review_snapshots(spark, sf_dir):
+    """Three whole snapshots of the reviews, merged by their change feeds."""
+    first = Inputs(spark, sf_dir).bronze["customer_reviews"]
+    later = next_batch(first, "customer_reviews")
+    second = first.join(later.select("id"), "id", "left_anti").unionByName(later)
+    root = work_dir(spark, "review_snapshots")
+    for df, day in ((first, DAY1), (second, DAY2), (second.where("rating IS NOT NULL"), DAY3)):
+        land_reviews(df, root, day)
+    store = SilverStore(spark, f"{root}/silver")
+    merge_snapshots(store, "customer_reviews", [
+        (str(i), spark.read.schema(BRONZE["customer_reviews"]).parquet(reviews_file(root, day)), now)
+        for i, (day, now) in enumerate(((DAY1, T1), (DAY2, T2), (DAY3, T3)))])
+    return store.read("customer_reviews")
+
+
+def distinct_customers_merged(spark, sf_dir):
+    """Customers of each product over three batches of orders, each kept as bitmaps."""
+    b = Inputs(spark, sf_dir).bronze
+    items = b["order_items"].select("order_id", "product_id")
+    root = work_dir(spark, "distinct_customers")
+    for batch in range(3):
+        part = b["orders"].where(F.col("customer_id") % 2 + F.col("order_id") % 2 == batch)
+        distinct_state(part.join(items, "order_id"), ["product_id"], "customer_id").write.parquet(f"{root}/batch={batch}")
+    states = [spark.read.parquet(f"{root}/batch={batch}") for batch in range(3)]
+    return distinct_counts(merged(states, ["product_id"]), ["product_id"], "unique_customers")
+
+
 def _refresh(table: str) -> Query:
     def run(spark, sf_dir):
         b1 = Inputs(spark, sf_dir).bronze[table]
@@ -321,8 +421,14 @@ def registry() -> dict[str, Query]:
         "archive_landing": archive_landing_query,
         "archive_lines": archive_lines,
         "bronze_rejects": bronze_rejects,
+        "create_table_if_absent": create_table_if_absent,
+        "ctas_if_absent": ctas_if_absent_query,
+        "named_silver_tables": named_silver_tables,
         "restartable_day": restartable_day,
         "ingest_full_load": ingest_full_load,
+        "extract_in_parts": extract_in_parts,
+        "scd2_review_snapshots": scd2_review_snapshots,
+        "distinct_customers_merged": distinct_customers_merged,
         "ingest_incremental": ingest_incremental,
         "audit_log": audit_log,
         "latest_watermark": latest_watermark_query,

@@ -54,6 +54,23 @@ class BatchTable:
         (self.spark.createDataFrame([entry], _MANIFEST)
          .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
 
+    # -- as SQL ----------------------------------------------------------
+    def _empty_sql(self) -> str:
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema.fields)
+        return f"SELECT {nulls} WHERE FALSE"
+
+    def _columns_sql(self) -> str:
+        return ", ".join(f"`{c}`" for c in self.schema.fieldNames())
+
+    def _folders_sql(self, folders: list[str]) -> list[str]:
+        return [f"SELECT {self._columns_sql()} FROM parquet.`{f}`" for f in folders]
+
+    def as_sql(self) -> str:
+        """The latest committed version as a query for a view."""
+        last = [e for e in self._manifest()[-1:] if (e["rows"] or {}).get("data")]
+        return " UNION ALL ".join(self._folders_sql(
+            [f"{self.root}/batch={e['batch']}/attempt={e['attempt']}/kind=data" for e in last])) or self._empty_sql()
+
     # -- data ---------------------------------------------------------------
     def _full_schema(self) -> StructType:
         return StructType(list(self.schema.fields) + [

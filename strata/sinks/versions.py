@@ -133,6 +133,25 @@ class VersionLog(BatchTable):
             return self._union(self._keyed(entries, False), self._unkeyed(entries, False))
         return self._union(self._plain(entries, "old"), self._keyed(entries, True), self._unkeyed(entries, True))
 
+    def as_sql(self) -> str:
+        """All versions as of now, as a query for a view: the log resolved, loose and moved rows beside it."""
+        entries = self._manifest()
+        since, cols = self._since_base(entries), self._columns_sql()
+        parts = [e["attempt"] for e in since if _rows(e, "active", "history")]
+        same = ", ".join(f"`{c}`" for c in self.schema.fieldNames() if c not in ("effective_end_date", "is_active"))
+        ends = f"count(CASE WHEN NOT is_active THEN 1 END) OVER (PARTITION BY {same})"
+        resolve = lambda rows: (f"SELECT {cols} FROM (SELECT {cols}, {ends} AS _ends FROM {rows}) "
+                                "WHERE _ends = 0 OR NOT is_active")
+        out = self._folders_sql([f"{self.root}/log/part={e['attempt']}-old" for e in entries if _rows(e, "old")])
+        if parts:
+            self._log(since)  # the log's table knows these parts
+            listed = ", ".join(f"'{p}'" for p in parts)
+            out.append(resolve(f"(SELECT * FROM {self._table(since[0]['buckets'])} WHERE part IN ({listed}))"))
+        loose = self._folders_sql([f"{self.root}/log/part={e['loose']}-loose" for e in entries if _rows(e, "loose", "closed")])
+        if loose:
+            out.append(resolve(f"({' UNION ALL '.join(loose)})"))
+        return " UNION ALL ".join(out) or self._empty_sql()
+
     def target(self, batch: str, unkeyed: bool = False) -> DataFrame:
         """Open versions before ``batch``; those without a key only if asked for."""
         entries = self._before(self._manifest(), batch)

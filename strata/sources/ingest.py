@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +32,19 @@ class Source:
 class JdbcSource(Source):
     """A JDBC database. ``partitions`` maps a table to the options of a
     parallel read (``partitionColumn``, ``lowerBound``, ``upperBound``,
-    ``numPartitions``); without them a table is read by one task."""
+    ``numPartitions``), ``predicates`` to one predicate a task (equal-depth
+    ones come from ``sources.balanced``); else a table is read by one task."""
 
     spark: SparkSession
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     partitions: dict[str, dict[str, str]] = field(default_factory=dict)
+    predicates: dict[str, list[str]] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
+        if name in self.predicates:
+            return self.spark.read.jdbc(self.url, name, predicates=self.predicates[name],
+                                        properties=self.properties)
         reader = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", name)
         for k, v in {**self.properties, **self.partitions.get(name, {})}.items():
             reader = reader.option(k, v)
@@ -48,9 +54,12 @@ class JdbcSource(Source):
 @dataclass
 class FrameSource(Source):
     frames: dict[str, DataFrame]
+    predicates: dict[str, list[str]] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.frames[name]
+        df = self.frames[name]
+        parts = [df.where(p) for p in self.predicates.get(name, [])]
+        return reduce(DataFrame.unionByName, parts) if parts else df
 
 
 def extract(source: Source, table: str, load_type: str, watermark_col: str | None,
