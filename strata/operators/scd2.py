@@ -194,8 +194,9 @@ def hit_counts(active: DataFrame, source: DataFrame, spec: MergeSpec,
         alike = src.groupBy(*values).agg(F.count(F.lit(1)).alias("_n_alike"))
     else:
         full = (1 << len(changed)) - 1
-        masks = lambda df: sorted(r[0] for r in df.select(_null_mask(changed)).distinct().collect())
-        in_source, in_target = masks(src), masks(tgt)
+        mask = _null_mask(changed).alias("mask")
+        seen = src.select(F.lit(0).alias("side"), mask).unionByName(tgt.select(F.lit(1).alias("side"), mask)).distinct().collect()
+        in_source, in_target = (sorted(r["mask"] for r in seen if r["side"] == side) for side in (0, 1))
         subsets = range(1 << len(unchanged))
         # (NULLs of the source row, columns that must be equal, unchanged columns that are)
         terms = sorted({(ps, full & ~(ps | pt), w) for ps in in_source for pt in in_target for w in subsets})

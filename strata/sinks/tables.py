@@ -13,12 +13,14 @@ rows of must be there: a lost folder is an error, not an empty table.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, MapType, StringType, StructField, StructType
 
+from strata import storage
 from strata.functions.columns import empty_frame
 
 _MANIFEST = StructType([
@@ -35,8 +37,7 @@ class BatchTable:
     # -- manifest ---------------------------------------------------------
     def _manifest(self) -> list:
         """The last commit of each batch, oldest first (one small row a commit)."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        if not storage.exists(self.spark, f"{self.root}/_manifest"):
             return []
         rows = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_manifest").collect()
         last = {r["batch"]: r for r in sorted(rows, key=lambda r: r["seq"])}
@@ -51,8 +52,8 @@ class BatchTable:
         return max((r["seq"] for r in entries), default=0) + 1
 
     def _commit(self, entry: Row) -> None:
-        (self.spark.createDataFrame([entry], _MANIFEST)
-         .coalesce(1).write.mode("append").json(f"{self.root}/_manifest"))
+        name = f"commit-{entry['seq']:012d}-{entry['attempt']}.json"
+        storage.write_small(self.spark, f"{self.root}/_manifest", name, json.dumps(entry.asDict()) + "\n")
 
     # -- as SQL ----------------------------------------------------------
     def _empty_sql(self) -> str:

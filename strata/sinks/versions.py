@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata import storage
 from strata.sinks.tables import BatchTable
 
 #: Share of the base that later batches may add before the next compaction.
@@ -83,9 +84,8 @@ class VersionLog(BatchTable):
     def _must_exist(self, parts: list[str]) -> None:
         """A committed part that is gone is an error, not an empty part."""
         for p in parts:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log/part={p}")
-            if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-                raise FileNotFoundError(f"PATH_NOT_FOUND: {path.toString()} is committed but gone")
+            if not storage.exists(self.spark, f"{self.root}/log/part={p}"):
+                raise FileNotFoundError(f"PATH_NOT_FOUND: {self.root}/log/part={p} is committed but gone")
 
     def _plain(self, entries: list, name: str) -> DataFrame | None:
         kinds, by = (("loose", "closed"), "loose") if name == "loose" else ((name,), "attempt")

@@ -44,3 +44,12 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)
+
+
+def write_small(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """A small file that appears whole or not at all: written aside, then renamed."""
+    p, fs = _path(spark, f"{folder}/.{name}")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    move(spark, f"{folder}/.{name}", f"{folder}/{name}")
