@@ -4,17 +4,21 @@ Texts and benchmark items are turned into templates: every word loses case and
 outer punctuation, and numbers, units and names become the placeholders
 <num>, <unit> and <name> with the words they replace kept as slots. Windows of
 WINDOW template words are hashed and joined. Where a document and an item
-share windows on one diagonal the shared run is looked at word by word: plain
-words must agree, and slots must be re-filled consistently (one filling of the
-item always by the same filling of the document). A question with other
-numbers and names is so caught, while a text that merely has the same shape
-with mixed-up fillings is not.
+share windows on one diagonal they are looked at word by word: plain words must
+agree, and slots must be re-filled consistently, one filling of the item always
+by the same filling of the document, over the whole diagonal. What most places
+of a filling have is its filling; windows with another do not count. A question
+with other numbers and names is so caught, while a text of the same shape with
+mixed-up fillings loses the windows in which they clash.
 
 A document is contaminated when consistent windows cover SHARE of some item's
-windows. Items shorter than a window are one window of their whole length.
+windows. Items shorter than a window are one window of their whole length, and
+are found in documents of that length only. A name that begins a sentence is a
+plain word, as nothing near it tells it from any other first word.
 
-Defined cases: null texts are empty and match nothing, on either side; an item
-without words is ignored; repeated items and documents are judged alike; empty
+Defined cases: null texts are empty and match nothing, on either side; of
+equally frequent fillings the first one counts; texts of any length are read
+whole; an item without words is ignored; repeated items and documents are judged alike; empty
 tables give an empty result; other columns pass through ``without_leaks``.
 """
 
@@ -101,43 +105,45 @@ class Hasher:
         return (out * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def consistent(pairs: list[tuple[str, str]], seen: dict[str, str]) -> bool:
-    """Whether the (item, document) fillings go with those ``seen`` before:
-    each of the item's is replaced by one throughout. They are added if so."""
-    new = dict(seen)
-    for a, b in pairs:
-        if bool(a) != bool(b) or (a and new.setdefault(a, b) != b):
-            return False
-    seen.update(new)
-    return True
+def filling(words: list[str], pairs: list[tuple[int, str, str]]) -> dict[str, str]:
+    """The one filling of each of the item's fillings in a document: what most
+    of its aligned places have, the first of equals. ``pairs`` are (item
+    position, item's, document's). Two names of the item stay two: a name of the
+    document goes to the one that it replaces most often."""
+    votes: dict[str, dict[str, int]] = {}
+    names = set()
+    for at, x, y in pairs:
+        of = votes.setdefault(x, {})
+        of[y] = of.get(y, 0) + 1
+        if words[at] == "<name>":
+            names.add(x)
+    out, taken = {}, set()
+    for x in sorted(votes, key=lambda x: -max(votes[x].values())):
+        free = {y: n for y, n in votes[x].items() if x not in names or y not in taken}
+        if free:
+            out[x] = max(free, key=free.get)
+            if x in names:
+                taken.add(out[x])
+    return out
 
 
 def covered(item: tuple[list[str], list[str]], doc: tuple[list[str], list[str]],
             hits: list[tuple[int, int]]) -> set[int]:
     """Item windows matched by (item position, document position) hits that are
-    really equal and, over each run on one diagonal, consistent. Where fillings
-    clash a new run begins; the windows of all runs count."""
+    really equal and whose slots agree with one filling over their whole
+    diagonal. A window with a slot filled otherwise does not count."""
     (words, slots), (dwords, dslots) = item, doc
     k = min(WINDOW, len(words))
-    lines: dict[int, list[int]] = {}
+    lines: dict[int, set[int]] = {}
     for i, d in set(hits):
         if words[i:i + k] == dwords[d:d + k]:
-            lines.setdefault(d - i, []).append(i)
+            lines.setdefault(d - i, set()).add(i)
     best: set[int] = set()
     for shift, at in lines.items():
-        at.sort()
-        start = 0
-        while start < len(at):
-            seen: dict[str, str] = {}
-            for j in range(start, len(at)):
-                i = at[j]
-                fill = list(zip(slots[i:i + k], dslots[i + shift:i + shift + k]))
-                if not consistent(fill, seen):
-                    break
-                best.add(i)
-            else:
-                break
-            start = max(j, start + 1)
+        places = sorted({p for i in at for p in range(i, i + k) if slots[p]})
+        one = filling(words, [(p, slots[p], dslots[p + shift]) for p in places])
+        clash = {p for p in places if one.get(slots[p]) != dslots[p + shift]}
+        best |= {i for i in at if not clash.intersection(range(i, i + k))}
     return best
 
 

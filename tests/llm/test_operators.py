@@ -238,7 +238,7 @@ def test_templates_catch_new_numbers_and_names_and_refuse_mixed_up_ones(spark):
     item = "A train with Anna leaves at 12 km from town and Anna rides 30 minutes to meet Bert who waits with 7 apples."
     same = "Intro words first. A train with Carla leaves at 99 miles from town and Carla rides 5 hours to meet Dora who waits with 8 apples. More."
     mixed = "A train with Carla leaves at 99 miles from town and Dora rides 5 hours to meet Carla who waits with 8 apples."
-    docs = [(1, item), (2, same), (3, mixed.replace("town", "city").replace("rides", "walks")), (4, "nothing of it at all " * 30),
+    docs = [(1, item), (2, same), (3, mixed), (4, "nothing of it at all " * 30),
             (5, None), (6, ""), (2, same), (None, same)]
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item", __import__("pyspark").sql.functions.lit("x"))
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, item)], "item_id long, text string")
@@ -251,11 +251,36 @@ def test_templates_catch_new_numbers_and_names_and_refuse_mixed_up_ones(spark):
 
 
 def test_slots():
-    from strata.llm.decontaminate import consistent
-    seen = {}
-    assert consistent([("anna", "carla"), ("", ""), ("3", "4")], seen)
-    assert not consistent([("anna", "dora")], seen) and not consistent([("", "x")], seen)
-    assert seen == {"anna": "carla", "3": "4"}
+    from strata.llm.decontaminate import filling
+    words = ["<name>", "<num>", "<name>", "<num>", "<name>"]
+    pairs = lambda *ys: [(i, x, y) for i, (x, y) in enumerate(zip(["anna", "3", "anna", "4", "bert"], ys))]
+    assert filling(words, pairs("carla", "7", "carla", "7", "dora")) == {"anna": "carla", "3": "7", "4": "7", "bert": "dora"}
+    assert filling(words, pairs("carla", "7", "dora", "7", "carla")) == {"anna": "carla", "3": "7", "4": "7"}   # two names stay two
+    assert filling(words, pairs("dora", "1", "carla", "2", "dora"))["anna"] == "dora"                           # the first of equals
+
+
+def windows_kept(item, doc):
+    """Windows of the item that count, and all, over every pair of equal windows."""
+    from strata.llm.decontaminate import WINDOW, covered, template
+    a, b = template(item), template(doc)
+    hits = [(i, d) for i in range(len(a[0]) - WINDOW + 1) for d in range(len(b[0]) - WINDOW + 1)]
+    return len(covered(a, b, hits)), len(a[0]) - WINDOW + 1
+
+
+def test_mixed_up_fillings_cost_their_windows():
+    item = "A train with Anna leaves at 12 km from town and Anna rides 30 minutes to meet Bert who waits with 7 apples."
+    mixed = "A train with Carla leaves at 99 miles from town and Dora rides 5 hours to meet Carla who waits with 8 apples."
+    assert windows_kept(item, item) == (19, 19)
+    got, n = windows_kept(item, mixed)            # not one word else is changed
+    assert got < 0.75 * n
+    every = "There Anna has 3 kg and Bert has 4 kg so Anna gives 3 kg to Bert while Bert gives 4 kg to Anna and Anna has 3 kg."
+    other = "There Carl has 5 kg and Dora has 6 kg so Emil gives 7 kg to Fred while Gina gives 8 kg to Hans and Ines has 9 kg."
+    got, n = windows_kept(every, other)
+    assert got <= 0.5 * n
+    renamed = every.replace("Anna", "Dora").replace("Bert", "Emil").replace(" 3 ", " 8 ").replace(" 4 ", " 9 ")
+    assert windows_kept(every, renamed) == (n, n)
+    # inside a longer text, and twice in it with different fillings
+    assert windows_kept(every, f"Before it. {renamed} Between. {every} After.") == (n, n)
 
 
 def test_templates_part_words_at_all_white_space():
