@@ -10,7 +10,9 @@ Defined cases: a null text has no bytes (size 16, the overhead); null ids
 come first; rows with equal id are ordered by size and checksum, and equal
 rows may take each other's place; an empty table gives an empty result; a
 shard can be empty when there are fewer rows than shards. Only ``doc_id`` and
-``text`` are read; further columns do not matter.
+``text`` are read; further columns do not matter. Groups of equal texts are not
+kept together: their rows go where their ids put them, so a group of any size
+is cut like the rest and shards stay balanced.
 """
 
 from __future__ import annotations

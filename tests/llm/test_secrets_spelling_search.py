@@ -1,4 +1,4 @@
-"""Secret scans, spelling variants and ranked search against brute force, and their defined cases."""
+"""Secret scans, spelling variants, ranked search and shards against brute force, and their defined cases."""
 
 from __future__ import annotations
 
@@ -371,3 +371,28 @@ def test_search_of_an_empty_table(spark, none, small):
 def test_search_ignores_clashing_columns(spark, hard):
     items = spark.createDataFrame([(1, "same one two", 5, 6)], "item_id long, text string, doc_id long, score long")
     assert ranked(hard, items) == ranked_by_hand(HARD, [(1, "same one two")])
+
+
+# --- 9: shards by hand ------------------------------------------------------------------
+
+def shards_by_hand(docs, n=40):
+    """Rows in order of id, size and checksum, cut where the middle byte of a row passes a target."""
+    rows = []
+    for doc, text in docs:
+        data = (text or "").encode()
+        rows.append((doc is not None, doc or 0, len(data) + 16, zlib.crc32(data), doc))
+    total, start, seen, out = sum(r[2] for r in rows), 0, collections.Counter(), []
+    for _, _, size, crc, doc in sorted(rows):
+        shard = (2 * start + size) * n // (2 * total)
+        out.append((doc, size, crc, "bytes", shard, seen[shard], None))
+        seen[shard] += 1
+        start += size
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("extra", [[], [(5, "again")] * 300 + [(None, None)] * 20])
+def test_shards_equal_the_prefix_sums(spark, small, extra):
+    from strata.llm.sharding import shards
+    docs = [(r.doc_id, r.text) for r in small.collect()] + HARD + extra
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    assert sorted(map(tuple, shards(df).collect()), key=repr) == shards_by_hand(docs)
