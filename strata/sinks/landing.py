@@ -82,7 +82,11 @@ def archive_landing(spark: SparkSession, root: str, archive_root: str, table: st
     for path, date in landed:
         name, (_, day, month, year) = path.rsplit("/", 1)[1], date.groups()
         kept = f"{archive_root.rstrip('/')}/{table}/year={year}/month={month}/day={day}/file={name}"
-        for f in storage.files(spark, path):
+        files = storage.files(spark, path)
+        if files != [path] and not storage.exists(spark, kept):
+            storage.move(spark, path, kept)  # the day's first landing: one rename of its folder
+            continue
+        for f in files:
             storage.move(spark, f, f"{kept}/{f.rsplit('/', 1)[1]}")
         storage.delete(spark, path)
     return lines
