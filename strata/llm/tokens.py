@@ -25,6 +25,7 @@ import re
 import struct
 import uuid
 import zlib
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -170,6 +171,10 @@ def open_store(uri: str):
 class WordEncoder:
     """The tokenizer with a bounded memory of white-space-separated words.
 
+    The memory has two halves: when the newer one is full it becomes the older
+    one, and words of the older one that occur again move over, so frequent
+    words are learned once. A worker process keeps it from task to task.
+
     The tokenizer splits at white space, lower-cases and drops it, so the ids
     of a text are those of its words one after another. It also splits letters
     from a run of punctuation after them, so a word of this form needs no
@@ -182,7 +187,7 @@ class WordEncoder:
     FORM = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-/:-@\\[-`{-~]*)")
     MANY = 1000
 
-    def __init__(self, path: str, limit: int = 600_000, last: str = "</w>"):
+    def __init__(self, path: str, limit: int = 1_000_000, last: str = "</w>"):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -191,7 +196,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, i in vocabulary.items():
             self.ends[i] = piece.endswith(last)
-        self.limit, self.known = limit, {"": b""}
+        self.limit, self.known, self.older = limit // 2, {"": b""}, {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
@@ -213,12 +218,15 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        words, known = set(chain.from_iterable(lists)), self.known
-        new = words.difference(known)
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            known[""] = b""
+        words = set(chain.from_iterable(lists))
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > self.limit:
+            self.older, self.known = self.known, {"": b""}
             new = words
+        known, older = self.known, self.older
+        if older:
+            known.update((w, older[w]) for w in new.intersection(older))
+            new = new.difference(known)
         forms = [(w, self.FORM.fullmatch(w)) for w in new]
         stems = {m[1].lower() for _, m in forms if m}.difference(known)
         rest = {m[2] for _, m in forms if m}.union(w for w, m in forms if not m).difference(known)
@@ -229,6 +237,12 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in lists]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """The worker process's encoder."""
+    return WordEncoder(path)
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> tuple[str, DataFrame]:
     """Write the files; (folder, manifest: part, file_no, file, n_docs, n_ids)."""
     spark = docs.sparkSession
@@ -241,7 +255,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> tuple[str,
     def run(batches):
         from pyspark import TaskContext
         part, mine = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
-        encoder, store = WordEncoder(tokenizer), None
+        encoder, store = encoder_of(tokenizer), None
         doc_ids, counts, ids, held, seen, no = [], [], [], 0, 0, 0
 
         def close():
