@@ -38,6 +38,13 @@ def test_html_blocks():
     assert lines(None) == [] and lines("") == [] and main_text([], set()) == ""
 
 
+def test_headings_of_an_article_stay_whatever_their_ids_say():
+    from strata.llm.html import lines, main_text
+    page = ('<article><h2 id="related-work">Related work</h2><p id="comment-2">One.</p><h2 id="login">How to login</h2>'
+            '<p class="ad-hoc">Two.</p><p class="advert">Buy.</p><div id="comments"><p>Me too.</p></div></article>')
+    assert main_text(lines(page), set()) == "Related work\nOne.\nHow to login\nTwo."
+
+
 def test_lcs_is_longest():
     from strata.llm.html import shared
     rng = random.Random(3)
