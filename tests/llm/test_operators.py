@@ -45,6 +45,23 @@ def test_headings_of_an_article_stay_whatever_their_ids_say():
     assert main_text(lines(page), set()) == "Related work\nOne.\nHow to login\nTwo."
 
 
+def test_the_partner_decides_on_doubtful_blocks_of_articles_and_on_teasers(spark):
+    from strata.llm.html import extract
+    menu = "<nav>Menu</nav><div>Site name</div>"
+    post = (f"{menu}<article><h1>%s</h1><p>Body of %s.</p>%s<section class='related-posts'><p>Read %s, too.</p></section>"
+            "<div class='ad'>Buy</div></article>")
+    teaser = f"{menu}<article><p>Short %s.</p></article><div>The long text of %s stands outside.</div>"
+    rows = [(1, "http://a.org/x/1", post % ("one", "one", "<div class='share-price-table'>Prices</div>", "b")),
+            (2, "http://a.org/x/2", post % ("two", "two", "", "c")),
+            (3, "http://b.org/y/1", teaser % ("three", "three")), (4, "http://b.org/y/2", teaser % ("four", "four")),
+            (5, "http://c.org/", "<article><p>Alone.</p><div class='share-price-table'>Prices</div></article>")]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {
+        1: "one\nBody of one.\nPrices", 2: "two\nBody of two.",
+        3: "Short three.\nThe long text of three stands outside.", 4: "Short four.\nThe long text of four stands outside.",
+        5: "Alone."}
+
+
 def test_lcs_is_longest():
     from strata.llm.html import shared
     rng = random.Random(3)
