@@ -120,6 +120,16 @@ def test_the_state_is_smaller_than_its_keys(spark, tmp_root):
     assert size(f"{tmp_root}/state") < size(f"{tmp_root}/keys")
 
 
+def test_a_state_of_few_values_far_apart_is_no_larger_than_its_keys(spark, tmp_root):
+    df = spark.range(20_000).selectExpr("id AS g", "(id * 48271) % 900000 * 1000 - 77 AS v")
+    distinct_state(df, ["g"], "v").write.parquet(f"{tmp_root}/state")
+    state = spark.read.parquet(f"{tmp_root}/state")
+    assert dict(state.dtypes)["bits"] == "bigint" and state.count() == 20_000
+    size = spark.read.format("binaryFile").load(f"{tmp_root}/state/*.parquet").agg(F.sum("length")).first()[0]
+    assert size < 24 * 20_000 + 100_000
+    assert distinct_counts(merged([state, state], ["g"]), ["g"], "n").where("n = 1").count() == 20_000
+
+
 def test_empty_groups_and_values(spark):
     none = spark.createDataFrame([], "g string, v long")
     assert distinct_counts(distinct_state(none, ["g"], "v"), ["g"], "n").collect() == []
