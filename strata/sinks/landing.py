@@ -2,9 +2,9 @@
 
 Layout (all below one landing root on shared storage)::
 
-    <root>/<table>/<table>_<ddMMyyyy>.json/part-*.json     JSON lines (B1)
+    <root>/<table>/<table>_<ddMMyyyy>.json/part-*.json.gz  JSON lines (B1)
     <root>/customer_reviews/customer_reviews_<yyyyMMdd>.parquet/  (B2)
-    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/file=<landing file>/part-*.json  (B3)
+    <archive>/<table>/year=<yyyy>/month=<MM>/day=<dd>/file=<landing file>/part-*  (B3)
 
 Every write is a distributed DataFrame write; nothing passes through the
 driver. Timestamps land as epoch-millisecond numbers, which the bronze
@@ -45,10 +45,12 @@ def land_json(df: DataFrame, root: str, table: str, day: dt.date) -> int:
 
     The count is taken by an ``Observation`` on the write itself, so the
     source is read once (the original counted with a second extract).
+    Lines are written with gzip (``part-*.json.gz``), which every reader of the
+    folder undoes: as plain text the landed lines were most of what a day writes.
     """
     obs = Observation(f"land_{table}")
     out = millis_timestamps(df).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").json(landing_file(root, table, day))
+    out.write.mode("overwrite").json(landing_file(root, table, day), compression="gzip")
     return int(obs.get["rows"])
 
 

@@ -78,6 +78,14 @@ def test_land_json_writes_epoch_millis_and_bronze_reads_text(spark, tmp_root):
     assert b[0].updated_at == "1708682400000"       # 2024-02-23 10:00 UTC
 
 
+def test_landed_lines_are_packed_and_read_as_before(spark, tmp_root):
+    import glob
+    land_json(orders_source(spark), tmp_root, "orders", D1)
+    held = glob.glob(f"{tmp_root}/orders/*.json/part-*")
+    assert held and all(f.endswith(".json.gz") for f in held)
+    assert read_bronze(spark, tmp_root, "orders").count() == 3
+
+
 def test_archive_moves_every_row_once(spark, tmp_root):
     landing, archive = f"{tmp_root}/landing", f"{tmp_root}/archive"
     land_json(orders_source(spark), landing, "orders", D1)
