@@ -76,16 +76,21 @@ class SilverStore:
         parsed once. A lost executor only costs recomputing its cached blocks.
         """
         spec, tbl = SPECS[name], self.table(name)
-        source = merge_source(bronze, spec)
         if not tbl.previous_for(batch):
-            rows = first_load(bronze, name, now, semantics)
-            return tbl.append(batch, rows.withColumn("kind", F.lit("active")))
+            # ``first_load``, whose distinct rows are told apart behind the shuffle of the write.
+            made = corrected(spec) if semantics == "corrected" else spec
+            rows = insert_all(quarantine(bronze, name), made, now, silver_schema(name).fieldNames())
+            return tbl.append(batch, rows.withColumn("kind", F.lit("active")), distinct=spec.distinct_source)
+        source = merge_source(bronze, spec)
         if cache_source:
             source = source.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             unique = semantics == "reference" and self._unique_keys(source, spec)
-            target = tbl.target(batch, unkeyed=semantics == "corrected")
-            res = scd2_merge(target, source, spec, now, semantics, unique_source_keys=unique)
+            # Where the log is bucketed by more than the merge's key, its join would shuffle
+            # the target: only the versions that the source meets take part.
+            coarse = unique and set(tbl.keys) != set(spec.keys)
+            target = tbl.target(batch, unkeyed=semantics == "corrected", met_by=source if coarse else None)
+            res = scd2_merge(target, source, spec, now, semantics, unique_source_keys=unique, stored_by_key=not coarse)
 
             def check(hits: int) -> None:
                 if hits > 1 and semantics == "reference" and on_multi_match == "error":

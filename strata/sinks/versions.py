@@ -105,9 +105,12 @@ class VersionLog(BatchTable):
         keep = (F.col("_ends") == 0) | (~F.col("is_active") if closed else F.lit(False))
         return rows.withColumn("_ends", ends).where(keep).drop("_ends")
 
-    def _keyed(self, entries: list, closed: bool) -> DataFrame | None:
+    def _keyed(self, entries: list, closed: bool, met_by: DataFrame | None = None) -> DataFrame | None:
         since = self._since_base(entries)
         log = self._log(since)
+        if log is not None and met_by is not None:
+            # Equal versions have equal keys, so what is left out here closes nothing that stays.
+            log = log.join(met_by.select(*self.match), list(self.match), "left_semi").select(*self.schema.fieldNames())
         return self._open(log, closed) if log is not None and any(_rows(e, "history") for e in since) else log
 
     def _unkeyed(self, entries: list, closed: bool) -> DataFrame | None:
@@ -152,14 +155,17 @@ class VersionLog(BatchTable):
             out.append(resolve(f"({' UNION ALL '.join(loose)})"))
         return " UNION ALL ".join(out) or self._empty_sql()
 
-    def target(self, batch: str, unkeyed: bool = False) -> DataFrame:
-        """Open versions before ``batch``; those without a key only if asked for."""
+    def target(self, batch: str, unkeyed: bool = False, met_by: DataFrame | None = None) -> DataFrame:
+        """Open versions before ``batch``; those without a key only if asked for,
+        and with ``met_by`` only those with a match key in it."""
         entries = self._before(self._manifest(), batch)
-        return self._union(self._keyed(entries, False), self._unkeyed(entries, False) if unkeyed else None)
+        return self._union(self._keyed(entries, False, met_by), self._unkeyed(entries, False) if unkeyed else None)
 
     # -- writing -----------------------------------------------------------------
-    def _write(self, rows: DataFrame, base: bool, buckets: int) -> tuple[str, dict[str, int], int]:
-        """Write rows (``kind``: history, active; maybe ``n_hits``) as one attempt."""
+    def _write(self, rows: DataFrame, base: bool, buckets: int,
+               distinct: bool = False) -> tuple[str, dict[str, int], int]:
+        """Write rows (``kind``: history, active; maybe ``n_hits``) as one attempt, equal
+        ones once if ``distinct``: they are dealt to one bucket, so this needs no shuffle of its own."""
         attempt = uuid.uuid4().hex[:12]
         known = F.lit(True)
         for k in self.match:
@@ -180,19 +186,20 @@ class VersionLog(BatchTable):
         # Observed behind the shuffle: adaptive execution drops what is before an empty one.
         obs = Observation(f"rows_{attempt}")
         count = lambda k: F.count(F.when(F.col("_kind") == k, 1)).alias(k)
-        out = named.repartition(buckets, *[f"_d{i}" for i in range(len(deal))]).observe(
+        dealt = named.repartition(buckets, *[f"_d{i}" for i in range(len(deal))])
+        out = (dealt.distinct() if distinct else dealt).observe(
             obs, *[count(k) for k in ("active", "history", "loose", "closed", "old")], F.max("n_hits").alias("hits"))
         out.select(*self.schema.fieldNames(), "part").write.insertInto(self._table(buckets))
         counts = {k: int(v) for k, v in obs.get.items() if k != "hits" and v}
         return attempt, counts, int(obs.get["hits"] or 0)
 
-    def append(self, batch: str, changes: DataFrame, check=None) -> None:
-        """Add one batch's changes and commit them. ``check(hits)`` may raise
-        on the largest number of hits before anything counts."""
+    def append(self, batch: str, changes: DataFrame, check=None, distinct: bool = False) -> None:
+        """Add one batch's changes and commit them, equal rows once if ``distinct``.
+        ``check(hits)`` may raise on the largest number of hits before anything counts."""
         done = self._manifest()
         before = self._before(done, batch)
         buckets = before[0]["buckets"] if before else self._new_buckets()
-        attempt, rows, hits = self._write(changes, not before, buckets)
+        attempt, rows, hits = self._write(changes, not before, buckets, distinct)
         if check is not None:
             check(hits)
         entry = Row(seq=self._next(done), batch=batch, attempt=attempt, rows=rows, base=not before,

@@ -35,6 +35,27 @@ def test_a_merge_writes_what_it_changes_only(spark, tmp_root):
     assert store.read("customers").count() == 40 + 1 + 2
 
 
+def test_a_merge_by_part_of_the_key_reads_what_the_source_meets(spark, tmp_root):
+    mapped = lambda rs: spark.createDataFrame(rs, BRONZE["product_suppliers"])
+    store = SilverStore(spark, tmp_root)
+    first = [(i % 6, i, 5.0, "1") for i in range(24)]
+    # Equal rows once, also where the key is NULL.
+    store.merge("product_suppliers", mapped([*first, *first[:9], (None, 1, 1.0, "1"), (None, 1, 1.0, "1")]), "1", T[0])
+    assert store.read("product_suppliers").count() == 25
+    change = mapped([(0, 0, 6.0, "2"), (1, 1, 5.0, "3"), (2, 2, 5.0, "1"), (77, 1, 2.0, "2"), (None, 1, 1.0, "1")])
+    store.merge("product_suppliers", change, "2", T[1])
+    want = {(0, False): 4, (0, True): 0, (1, True): 4, (2, False): 4, (77, True): 1, (None, True): 2}
+    got = {(r.supplier_id, r.is_active): r["count"] for r in
+           store.read("product_suppliers").groupBy("supplier_id", "is_active").count().collect()}
+    assert all(got.get(k, 0) == n for k, n in want.items())
+    store.merge("product_suppliers", change, "3", T[2])
+    assert store.read("product_suppliers").where("supplier_id = 0").count() == 5
+    target = store.table("product_suppliers").target("4", met_by=change)
+    assert {r.supplier_id for r in target.collect()} == {0, 1, 2}
+    plan = target._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+
+
 def test_an_empty_batch_and_an_unchanged_one_add_nothing(spark, tmp_root):
     store = SilverStore(spark, tmp_root)
     store.merge("customers", customers(spark, base()), "1", T[0])
