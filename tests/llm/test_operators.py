@@ -704,6 +704,23 @@ def test_words_are_encoded_like_texts():
             assert got.tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+def test_columns_are_encoded_by_bytes_of_text(monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+    from strata.llm import tokens
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [None, "", "The THE, the.", " \n\t x", "É é! a\x0bb", "long " * 60, None, "tail"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(tokens, "SLICE", 20)
+    parts = list(tokens.slices(batch, 1))
+    assert len(parts) > 2 and [i for b in parts for i in b.column(0).to_pylist()] == list(range(8))
+    e, t = tokens.WordEncoder(path, limit=8), Tokenizer.from_file(path)
+    got = [ids.tolist() for b in parts for ids in e.encode(b.column(1))]
+    assert got == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert list(tokens.slices(batch.slice(0, 0), 1)) == []
+
+
 def test_token_files_empty(none):
     import public_tokenizers
     from strata.llm.tokens import token_output
