@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -229,6 +230,67 @@ def test_lm_query_knows_what_training_holds_once(spark, tmp_path):
         assert abs(got[i] - score(t.split() + [""])) < 3e-4 * 41
 
 
+def test_lm_tokens_of_a_column():
+    import pyarrow as pa
+    import xxhash
+    from strata.llm.lm import END, Reader
+    texts = ["cut off", None, "", " a  B ", "\t\n\x0b\x0c\r ", "É\x1cx a\xa0z", "a"]
+    hashes, stream, lengths = Reader().batch(pa.array(texts).slice(1))
+    want = [[*(t or "").encode().lower().split(), b""] for t in texts[1:]]
+    code = lambda w: (xxhash.xxh64_intdigest(w) if w else END) - (1 << 63)
+    assert lengths.tolist() == [len(ws) for ws in want]
+    assert hashes[stream].tolist() == [code(w) for ws in want for w in ws]
+
+
+def test_lm_with_contexts_too_large_for_one_column(small, monkeypatch):
+    from strata.llm import lm
+    rows = lambda: sorted(tuple(r) for r in lm.scored(small.limit(20)).collect())
+    packed = rows()
+    monkeypatch.setattr(lm, "MOST_KEY", 1)
+    assert rows() == packed
+
+
+def test_lm_lets_go_of_a_file_before_the_next(small, monkeypatch):
+    import mmap
+    from strata.llm import lm
+    built = lm.train(small, shard_rows=50)
+    opened, dropped = [], []
+
+    class Map(mmap.mmap):
+        def __init__(self, *args, **named):
+            opened.append(self)
+
+        def madvise(self, option, *args):
+            dropped.append(option)
+            return super().madvise(option, *args)
+
+    monkeypatch.setattr(mmap, "mmap", Map)
+    model = lm.Model(*built)
+    number = np.arange(built[3])
+    counts = model.counts(0, number)
+    assert counts.sum() == built[2] and (model.counts(0, number) == counts).all()
+    assert len(opened) > 1 and dropped == [mmap.MADV_DONTNEED] * 2 * len(opened)
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import glob
+    import tempfile
+    import time
+    from strata.llm.common import written
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    root, before = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir()), spark.conf.get(key)
+    files = lambda: set(glob.glob(f"{root}/**/shuffle_*.data", recursive=True))
+    old = files()
+    assert written(spark.range(1000).repartition(3, "id"), "test").count() == 1000
+    for _ in range(50):
+        if not files() - old:
+            break
+        time.sleep(0.1)
+    # The count's own shuffle of one row a part may still be there.
+    assert sum(os.path.getsize(f) for f in files() - old if os.path.exists(f)) < 2000
+    assert spark.conf.get(key) == before
+
+
 def test_lm_empty(none):
     from strata.llm.lm import scored
     assert scored(none).collect() == []
