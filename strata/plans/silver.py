@@ -23,6 +23,7 @@ from strata.operators.scd2 import SPECS, corrected, insert_all, merge_source, sc
 from strata.schemas import REFRESH_TABLES, SCD2_TABLES, silver_schema
 from strata.sinks.tables import BatchTable
 from strata.sinks.versions import VersionLog
+from strata.storage import shuffles_dropped
 
 
 def refresh(bronze: DataFrame, table: str) -> DataFrame:
@@ -74,7 +75,14 @@ class SilverStore:
         batch's bronze rows) is persisted for the duration of the merge: the
         test for unique keys and the joins read it, and the bronze files are
         parsed once. A lost executor only costs recomputing its cached blocks.
+        The shuffle files of each action go when it ends: those of a first load
+        are as large as the table.
         """
+        with shuffles_dropped(self.spark):
+            self._merge(name, bronze, batch, now, semantics, on_multi_match, cache_source)
+
+    def _merge(self, name: str, bronze: DataFrame, batch: str, now: dt.datetime, semantics: str,
+               on_multi_match: str, cache_source: bool) -> None:
         spec, tbl = SPECS[name], self.table(name)
         if not tbl.previous_for(batch):
             # ``first_load``, whose distinct rows are told apart behind the shuffle of the write.

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from strata import storage
 from strata.conf import (
     AS_OF, DAY1, DAY2, DAY3, INGEST_CLOCK_1, INGEST_CLOCK_2, T1, T2, T3, control_dicts,
 )
@@ -39,6 +40,7 @@ from strata.sources.balanced import equal_depth_predicates
 from strata.sources.bronze import BAD_LINE, read_bronze, read_rejects, write_rejects
 from strata.sources.ingest import FrameSource, extract, latest_watermark, watermarks
 from strata.sources.reviews import ingest_reviews
+from strata.storage import shuffles_dropped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,16 +356,25 @@ def distinct_rows(spark, sf_dir):
     return distinct_flagged(b.unionByName(next_batch(b, "orders")), "orders")
 
 
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _scd2(table: str) -> Query:
     def run(spark, sf_dir):
         b1 = Inputs(spark, sf_dir).bronze[table]
         root = work_dir(spark, f"scd2_{table}")
-        # Offered twice, so it is written once, as a landed batch is.
-        next_batch(b1, table).write.parquet(f"{root}-offered")
-        b2 = spark.read.schema(b1.schema).parquet(f"{root}-offered")
+        # Batches are read more than once, so they are written, as landed ones are;
+        # the first one goes when the second has been made from it.
         store = SilverStore(spark, root)
-        for batch, src, now in (("1", b1, T1), ("2", b2, T2), ("3", b2, T3)):
-            store.merge(table, src, batch, now)
+        b1 = _landed(b1, f"{root}-first")
+        store.merge(table, b1, "1", T1)
+        b2 = _landed(next_batch(b1, table), f"{root}-offered")
+        storage.delete(spark, f"{root}-first")
+        for batch, now in (("2", T2), ("3", T3)):
+            store.merge(table, b2, batch, now)
         return store.read(table)
     return run
 

@@ -140,3 +140,20 @@ def test_null_keys_close_under_corrected_semantics(spark, tmp_root):
         store.merge("customers", customers(spark, [row]), str(i), T[i], semantics="corrected")
     assert sorted((r.email, r.is_active, r.effective_end_date) for r in store.read("customers").collect()) == \
         [("one", False, T[1]), ("two", True, None)]
+
+
+def test_a_merge_leaves_no_shuffle_files(spark, tmp_root):
+    import glob
+    import os
+    import tempfile
+    import time
+    local = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+    files = lambda: set(glob.glob(f"{local}/**/shuffle_*.data", recursive=True))
+    old = files()
+    SilverStore(spark, tmp_root).merge("customers", customers(spark, base(4000)), "1", T[0])
+    for _ in range(50):
+        left = sum(os.path.getsize(f) for f in files() - old if os.path.exists(f))
+        if left < 2000:
+            break
+        time.sleep(0.1)
+    assert left < 2000
