@@ -688,6 +688,38 @@ def test_passages_with_replaced_words_at_random():
         assert found >= 95
 
 
+def test_word_hashes_of_many_texts_are_those_of_one(spark):
+    from strata.llm.minhash import Shingler
+    from strata.llm.passages import Seeder, spans
+    rng = random.Random(3)
+    texts = [None, "", *("".join(rng.choice("abÄé🙂 \t\n\x0b\x0c\r  xyzQ") * rng.choice((1, 1, 40)) for _ in range(rng.randrange(900)))
+                         for _ in range(100))]
+    got, one = Seeder().texts(texts), Shingler(3)
+    for j, t in enumerate(texts):
+        w = one.words(t)
+        want = one.word_hashes(w) if len(w) >= 50 else []
+        assert got.hashes[got.row == j].tolist() == list(want)
+        assert [(m.start(), m.end()) for m in W.finditer(t or "")] == list(zip(*spans(t or "")))
+
+
+def test_seeds_and_matches_take_little_disk(spark, monkeypatch):
+    from strata.llm import passages
+    rng = random.Random(9)
+    docs = [(i, ["q%d" % rng.randrange(10 ** 7) for _ in range(600)]) for i in range(300)]
+    docs = [(i, " ".join(w)) for i, w in docs] + [(i + 300, " ".join("own" if k % 60 == 9 else v for k, v in enumerate(w))) for i, w in docs]
+    made, write = {}, passages.written
+
+    def noted(df, tag):
+        out = write(df, tag)
+        made[tag] = made.get(tag, 0) + sum(os.path.getsize(f.removeprefix("file:").replace("//", "/")) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(passages, "written", noted)
+    assert passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count() > 0
+    held = sum(len(t) for _, t in docs)
+    assert sum(v for k, v in made.items() if k not in ("corpus", "keys", "texts")) < held
+
+
 # --- 9: shards -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["small", "hard"])
